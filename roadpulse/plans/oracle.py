@@ -54,6 +54,11 @@ def _distance(lat: str, lng: str, lat0: str, lng0: str) -> str:
     )
 
 
+def _six(expression: str) -> str:
+    """Rounded half up to six places, after taking float noise off at the tenth."""
+    return f"CAST(ROUND(CAST({expression} AS DECIMAL(38, 10)), 6) AS DOUBLE)"
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
@@ -69,7 +74,7 @@ hits AS (
 
 def _radius_rows(km: str) -> str:
     return f"""{_with(_INCIDENTS, _HITS)}
-SELECT event_id, start_lat, start_lng, severity, ROUND(km, 6) AS distance_km FROM hits WHERE km <= {km}"""
+SELECT event_id, start_lat, start_lng, severity, {_six("km")} AS distance_km FROM hits WHERE km <= {km}"""
 
 
 # --- hotspots ---------------------------------------------------------------
@@ -96,7 +101,7 @@ _BY_COUNT = "ORDER BY incidents DESC, lat_cell, lng_cell LIMIT 5"
 # --- routes -----------------------------------------------------------------
 
 
-def _route(street: str, boundary: str = "") -> str:
+def _route(street: str, boundary: str = "") -> tuple[str, str]:
     found = f"regexp_extract(upper({street}), '{boundary}(I\\s*-\\s*\\d+|US\\s*-\\s*\\d+|US\\s+\\d+|I\\s+\\d+)', 1)"
     dashed = f"regexp_replace(regexp_replace({found}, '\\s+', '', 'g'), '([A-Z])(\\d)', '\\1-\\2', 'g')"
     return f"CASE WHEN {found} <> '' THEN {dashed}", f"{found} <> ''"
@@ -112,7 +117,7 @@ def _ranking(highways_only: bool) -> str:
     case, found = _route("street")
     only = f"AND {found}" if highways_only else ""
     return f"""{_with(_INCIDENTS, _TIMES)}
-SELECT {case} ELSE street END AS route, COUNT(severity) AS incidents, ROUND(AVG(minutes), 6) AS mean_clearance_min
+SELECT {case} ELSE street END AS route, COUNT(severity) AS incidents, {_six("AVG(minutes)")} AS mean_clearance_min
 FROM spans WHERE severity >= 3 AND street IS NOT NULL {only}
 GROUP BY 1 ORDER BY incidents DESC, route LIMIT 10"""
 
@@ -132,9 +137,9 @@ daily AS (
   GROUP BY ALL)"""
 
 
-_ROUNDED_MEANS = "ROUND(mean_precipitation, 6) AS mean_precipitation, ROUND(mean_visibility, 6) AS mean_visibility"
+_ROUNDED_MEANS = f"{_six("mean_precipitation")} AS mean_precipitation, {_six("mean_visibility")} AS mean_visibility"
 _WIND = ", AVG(wind_speed_mph) AS mean_wind_speed"
-_ROUNDED_WIND = ", ROUND(mean_wind_speed, 6) AS mean_wind_speed"
+_ROUNDED_WIND = f", {_six("mean_wind_speed")} AS mean_wind_speed"
 
 _HISTORY = """
 history AS (
@@ -144,20 +149,20 @@ history AS (
 
 def _anomalies(daily: str, means: str = _ROUNDED_MEANS, tail: str = "") -> str:
     return f"""{_with(_INCIDENTS, daily, _HISTORY)}
-SELECT state, day, day_incidents, {means}, ROUND(hist_mean, 6) AS hist_mean, ROUND(hist_std, 6) AS hist_std,
-       ROUND(hist_mean + 3 * hist_std, 6) AS threshold
+SELECT state, day, day_incidents, {means}, {_six("hist_mean")} AS hist_mean, {_six("hist_std")} AS hist_std,
+       {_six("hist_mean + 3 * hist_std")} AS threshold
 FROM daily JOIN history USING (state) WHERE day_incidents > hist_mean + 3 * hist_std {tail}"""
 
 
-_ORDER_SPIKES = """
+_ORDER_SPIKES = f"""
 WITH daily AS (
   SELECT n_name AS nation, CAST(o_orderdate AS DATE) AS day, COUNT(*) AS day_orders
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
   GROUP BY ALL),
 history AS (
   SELECT nation, AVG(day_orders) AS hist_mean, stddev_samp(day_orders) AS hist_std FROM daily GROUP BY nation)
-SELECT nation, day, day_orders, ROUND(hist_mean, 6) AS hist_mean, ROUND(hist_std, 6) AS hist_std,
-       ROUND(hist_mean + 3 * hist_std, 6) AS threshold
+SELECT nation, day, day_orders, {_six("hist_mean")} AS hist_mean, {_six("hist_std")} AS hist_std,
+       {_six("hist_mean + 3 * hist_std")} AS threshold
 FROM daily JOIN history USING (nation) WHERE day_orders > hist_mean + 3 * hist_std"""
 
 # --- clearance --------------------------------------------------------------
@@ -169,7 +174,7 @@ def _clearance(lights: str, unknown: str = "unknown") -> str:
 SELECT {lights},
        CASE WHEN s_ts IS NULL THEN '{unknown}' WHEN dayofweek(s_ts) IN (0, 6) THEN 'weekend'
             ELSE 'weekday' END AS day_type,
-       ROUND(AVG(minutes), 6) AS mean_clearance_min, COUNT(*) AS incidents
+       {_six("AVG(minutes)")} AS mean_clearance_min, COUNT(*) AS incidents
 FROM spans WHERE {present} GROUP BY ALL ORDER BY ALL"""
 
 
@@ -229,9 +234,9 @@ _METRICS = f"""{_with(_INCIDENTS, _FEATURES, _CONFUSION)},
 supports AS (SELECT label AS cls, SUM(n) AS support, SUM(CASE WHEN label = prediction THEN n ELSE 0 END) AS tp
              FROM confusion GROUP BY label),
 predicted AS (SELECT prediction AS cls, SUM(n) AS predicted FROM confusion GROUP BY prediction)
-SELECT ROUND(SUM(tp) / CAST(SUM(support) AS DOUBLE), 6) AS accuracy,
-       ROUND(SUM(support * (CAST(2 AS DOUBLE) * tp / (support + COALESCE(predicted, 0))))
-             / SUM(support), 6) AS weighted_f1
+SELECT {_six("SUM(tp) / CAST(SUM(support) AS DOUBLE)")} AS accuracy,
+       {_six("SUM(support * (CAST(2 AS DOUBLE) * tp / (support + COALESCE(predicted, 0)))) / SUM(support)")}
+         AS weighted_f1
 FROM supports LEFT JOIN predicted USING (cls)"""
 
 
@@ -275,7 +280,7 @@ def oracle_sql() -> dict[str, str]:
         "daily_rollup_prefix": f"{_with(_INCIDENTS, _daily(_PREFIX))}\n"
         f"SELECT state, day, day_incidents, {_ROUNDED_MEANS} FROM daily",
         "entity_history_stats": f"{_with(_INCIDENTS, _daily(), _HISTORY)}\nSELECT state,"
-        " ROUND(hist_mean, 6) AS hist_mean, ROUND(hist_std, 6) AS hist_std, observed_days FROM history",
+        f" {_six("hist_mean")} AS hist_mean, {_six("hist_std")} AS hist_std, observed_days FROM history",
         "sigma_anomalies": _anomalies(_daily()),
         "sigma_anomalies_join": _anomalies(_daily()),
         "sigma_anomalies_prefix": _anomalies(_daily(_PREFIX)),

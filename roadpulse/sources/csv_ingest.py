@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import csv
+import functools
+import operator
 import re
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
@@ -74,18 +76,18 @@ def split_lines(lines: DataFrame, columns: Sequence[str], line: str = "value") -
     """
     slots = [f"c{i}" for i in range(len(columns))]
     schema = ", ".join(f"{s} STRING" for s in [*slots, _CORRUPT])
-    parsed = lines.select(
-        F.col(line).alias(LINE),
-        F.from_csv(
-            line,
-            schema,
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "escape": '"'},
-        ).alias("p"),
+    parsed = F.from_csv(
+        line,
+        schema,
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "escape": '"'},
     )
-    return parsed.select(
+    # Inlined and not merely selected: a filter on the fields is not pushed below
+    # a generator, where it would parse the line again for every field it names.
+    fields = lines.select(F.col(line).alias(LINE), F.inline(F.array(parsed)))
+    return fields.select(
         LINE,
-        F.col(f"p.{_CORRUPT}").alias(_CORRUPT),
-        *[_null_if_token(F.col(f"p.{s}")).alias(name) for s, name in zip(slots, columns)],
+        _CORRUPT,
+        *[_null_if_token(F.col(s)).alias(name) for s, name in zip(slots, columns)],
     )
 
 
@@ -128,13 +130,16 @@ def apply_types(split: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Typed columns, the raw line, and ``reject_reason`` (null on a clean row)."""
     names = [c for c in split.columns if c not in (LINE, _CORRUPT)]
     typed = {c: _cast(c, types.get(c, "string")) for c in names}
-    checked = [c for c in names if types.get(c, "string") != "string"]
-    bad = F.concat_ws(
-        ",", *[F.when(F.col(f"`{c}`").isNotNull() & typed[c].isNull(), F.lit(c)) for c in checked]
-    )
+    misfits = {
+        c: F.col(f"`{c}`").isNotNull() & typed[c].isNull()
+        for c in names
+        if types.get(c, "string") != "string"
+    }
     reason = F.when(F.col(_CORRUPT).isNotNull(), F.lit("field_count"))
-    if checked:
-        reason = reason.when(bad != "", F.concat(F.lit("bad_value:"), bad))
+    if misfits:
+        columns = F.concat_ws(",", *[F.when(misfit, F.lit(c)) for c, misfit in misfits.items()])
+        any_misfit = functools.reduce(operator.or_, misfits.values())
+        reason = reason.when(any_misfit, F.concat(F.lit("bad_value:"), columns))
     return split.select(LINE, reason.alias(REASON), *[typed[c].alias(c) for c in names])
 
 
