@@ -27,14 +27,14 @@ def great_circle_km(
 ) -> Column:
     """Haversine distance in km between (lat, lng) and (lat0, lng0), in degrees.
 
-    The haversine is clamped to 1: float error can push it above, and asin
-    would then turn an antipodal point into NaN.
+    Float error can push the haversine of antipodes just above 1, where asin is
+    NaN; it is taken back to 1. Null and NaN coordinates stay null and NaN.
     """
     phi, phi0 = F.radians(_col(lat)), F.radians(_num(lat0))
     half_dphi = (phi0 - phi) / 2
     half_dlambda = (F.radians(_num(lng0)) - F.radians(_col(lng))) / 2
     hav = F.pow(F.sin(half_dphi), 2) + F.cos(phi) * F.cos(phi0) * F.pow(F.sin(half_dlambda), 2)
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), hav)))
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.when(hav.between(1.0, 2.0), 1.0).otherwise(hav)))
 
 
 def _longitude_ranges(lat0: float, lng0: float, radius_km: float) -> list[tuple[float, float]] | None:

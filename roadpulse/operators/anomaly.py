@@ -71,15 +71,17 @@ def sigma_anomalies(
     entity: str = "state",
     metric: str = "day_incidents",
     sigmas: float = SIGMAS,
-    form: str = "join",
+    form: str = "window",
 ) -> DataFrame:
     """Days with ``metric`` strictly above ``hist_mean + sigmas * hist_std``.
 
-    Both forms give the same rows. ``join`` aggregates the history (partial
-    aggregation, one row per entity) and joins it back; the shuffle of the
-    rollup is shared by both sides. ``window`` brings all days of an entity to
-    one task, which is right as long as days per entity are few, as in a
-    calendar. An entity with a single day has no deviation and no anomaly.
+    Both forms give the same rows. ``window`` reads ``daily`` once and brings
+    all days of an entity to one task: as many rows as the calendar has days,
+    however many records lie behind them. ``join`` aggregates the history on the
+    map side and joins it back, so no task sees a whole entity; take it where
+    periods per entity have no such bound. It reads ``daily`` twice, so give it
+    a written rollup (``shared_dir.written``) and not the query that makes it.
+    An entity with a single day has no deviation and no anomaly.
     """
     if form == "join":
         history = entity_history(daily, entity, metric).drop("observed_days")

@@ -228,7 +228,7 @@ _CONFUSION = """
 confusion AS (
   SELECT label, CAST(CASE WHEN temperature_f < 60 THEN 0 WHEN temperature_f < 75 THEN 1
                           WHEN temperature_f < 90 THEN 2 ELSE 3 END AS BIGINT) AS prediction, COUNT(*) AS n
-  FROM features WHERE part = 'test' GROUP BY ALL)"""
+  FROM features GROUP BY ALL)"""
 
 _METRICS = f"""{_with(_INCIDENTS, _FEATURES, _CONFUSION)},
 supports AS (SELECT label AS cls, SUM(n) AS support, SUM(CASE WHEN label = prediction THEN n ELSE 0 END) AS tp

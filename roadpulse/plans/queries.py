@@ -227,24 +227,30 @@ def entity_history_stats(spark, sf_dir):
     return _rounded(history, "hist_mean", "hist_std")
 
 
-def _anomalies(spark: SparkSession, sf_dir: str, form: str = "join", **rollup) -> DataFrame:
+def _anomalies(spark: SparkSession, sf_dir: str, **rollup) -> DataFrame:
+    return anomaly.sigma_anomalies(anomaly.daily_rollup(tables.incidents(spark, sf_dir), **rollup))
+
+
+def _anomalies_by_join(spark: SparkSession, sf_dir: str, **rollup) -> DataFrame:
     daily = anomaly.daily_rollup(tables.incidents(spark, sf_dir), **rollup)
-    return anomaly.sigma_anomalies(daily, form=form)
+    return anomaly.sigma_anomalies(shared_dir.written(daily, "daily-rollup"), form="join")
 
 
 @_query
 def sigma_anomalies(spark, sf_dir):
-    return _rounded(_anomalies(spark, sf_dir, form="window"), *_HISTORY, *anomaly.WEATHER)
+    return _rounded(_anomalies(spark, sf_dir), *_HISTORY, *anomaly.WEATHER)
 
 
 @_query
 def sigma_anomalies_join(spark, sf_dir):
-    return _rounded(_anomalies(spark, sf_dir), *_HISTORY, *anomaly.WEATHER)
+    return _rounded(_anomalies_by_join(spark, sf_dir), *_HISTORY, *anomaly.WEATHER)
 
 
 @_query
 def sigma_anomalies_prefix(spark, sf_dir):
-    return _rounded(_anomalies(spark, sf_dir, day_from="prefix"), *_HISTORY, *anomaly.WEATHER)
+    # By join: malformed times make "days" without the bound of a calendar.
+    found = _anomalies_by_join(spark, sf_dir, day_from="prefix")
+    return _rounded(found, *_HISTORY, *anomaly.WEATHER)
 
 
 @_query
@@ -317,8 +323,7 @@ def ml_split_counts(spark, sf_dir):
 
 
 def _rule_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, test = model.split(_features(spark, sf_dir))
-    return model.confusion(model.threshold_prediction(test))
+    return model.confusion(model.threshold_prediction(_features(spark, sf_dir)))
 
 
 @_query

@@ -44,8 +44,16 @@ NULL_TOKENS = (
 # Types tried on undeclared columns, the narrowest first.
 INFERRED_TYPES = ("bigint", "double", "boolean", "date", "timestamp_ntz")
 
-# Number spellings of Java that no CSV writer means: 1.5d, 2f, 0x1p3.
-_JAVA_NUMBER = r"[0-9.][dDfF]\s*$|[xX]"
+# What a value has to look like besides passing the cast, which alone would take
+# Java spellings (1.5d, 0x1p3), "y" for true and the first part of a longer text.
+_REAL = r"^\s*[-+]?([0-9.]+([eE][-+]?[0-9]+)?|(?i:inf|infinity))\s*$"
+_SHAPES = {
+    "float": _REAL,
+    "double": _REAL,
+    "boolean": r"^(?i:true|false)$",
+    "date": r"^\d{4}-\d{2}-\d{2}$",
+    "timestamp_ntz": r"^\d{4}-\d{2}-\d{2}[ T]",
+}
 
 _BOM = "﻿"
 _CORRUPT = "_corrupt"
@@ -99,9 +107,8 @@ def _cast(name: str, type_: str) -> Column:
     value = F.col(f"`{name}`")
     if type_ == "string":
         return value
-    if type_ in ("double", "float"):
-        return F.when(~value.rlike(_JAVA_NUMBER), value.try_cast(type_))
-    return value.try_cast(type_)
+    cast = value.try_cast(type_)
+    return F.when(value.rlike(_SHAPES[type_]), cast) if type_ in _SHAPES else cast
 
 
 def infer_types(split: DataFrame, declared: Mapping[str, str] = DECLARED_TYPES) -> dict[str, str]:

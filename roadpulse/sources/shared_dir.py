@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 @functools.cache
@@ -26,3 +26,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = _local_base()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` computed once into the shared folder, and read from there (an action).
+
+    For a result that several branches of a plan read: column pruning makes the
+    branches differ, so Spark would not share their shuffles. Unlike a cached
+    result, the files outlive the executors that wrote them.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
