@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import sys
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,14 +28,17 @@ def great_circle_km(
 ) -> Column:
     """Haversine distance in km between (lat, lng) and (lat0, lng0), in degrees.
 
-    Float error can push the haversine of antipodes just above 1, where asin is
-    NaN; it is taken back to 1. Null and NaN coordinates stay null and NaN.
+    Null where a coordinate is null. Float error can push the haversine of
+    antipodes just above 1, where asin is NaN; they are half a turn apart.
     """
     phi, phi0 = F.radians(_col(lat)), F.radians(_num(lat0))
     half_dphi = (phi0 - phi) / 2
     half_dlambda = (F.radians(_num(lng0)) - F.radians(_col(lng))) / 2
     hav = F.pow(F.sin(half_dphi), 2) + F.cos(phi) * F.cos(phi0) * F.pow(F.sin(half_dlambda), 2)
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.when(hav.between(1.0, 2.0), 1.0).otherwise(hav)))
+    # Written so that the haversine stands in the expression once: a filter
+    # evaluates every mention of it.
+    half_angle = F.nanvl(F.asin(F.sqrt(hav)), F.lit(math.pi / 2))
+    return F.lit(2 * EARTH_RADIUS_KM) * half_angle
 
 
 def _longitude_ranges(lat0: float, lng0: float, radius_km: float) -> list[tuple[float, float]] | None:
@@ -58,8 +62,8 @@ def may_be_within(
     """Necessary condition for lying within the radius, on the raw columns only.
 
     Plain comparisons against literals reach the Parquet scan, which a filter on
-    the computed distance cannot. Coordinates off the usual range pass through,
-    so the exact test alone decides on them.
+    the computed distance cannot. Numbers off the usual range pass through, so
+    the exact test alone decides on them; NaN and infinities are no place.
     """
     lat, lng = _col(lat), _col(lng)
     reach = math.degrees(radius_km / EARTH_RADIUS_KM) + _SLACK_DEG
@@ -71,5 +75,7 @@ def may_be_within(
             part = (lng >= west) & (lng <= east)
             hit = part if hit is None else hit | part
         box = box & hit
+    finite = sys.float_info.max
+    finite_pair = (lat >= -finite) & (lat <= finite) & (lng >= -finite) & (lng <= finite)
     off_range = (lat < -90.0) | (lat > 90.0) | (lng < -180.0) | (lng > 180.0)
-    return box | off_range
+    return finite_pair & (box | off_range)

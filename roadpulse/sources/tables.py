@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.sources.csv_ingest import snake_case
@@ -18,14 +18,46 @@ def read_incidents(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumnsRenamed({c: snake_case(c) for c in df.columns})
 
 
-def _time_text(ts: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss.SSSSSS``, whatever the session's time zone."""
-    text = ts.cast("string")
-    return F.rpad(F.when(F.length(text) == 19, F.concat(text, F.lit("."))).otherwise(text), 26, "0")
-
-
-def _daylight(ts: Column, first_hour: int, last_hour: int) -> Column:
-    return F.when(F.hour(ts).between(first_hour, last_hour), "Day").otherwise("Night")
+# Timestamps as "yyyy-MM-dd HH:mm:ss.SSSSSS". The cast drops trailing zeros (and
+# the point), and unlike date_format it does not look at the session's time zone.
+def _time_text(ts: str) -> str:
+    text = f"CAST({ts} AS STRING)"
+    return f"rpad(if(length({text}) = 19, {text} || '.', {text}), 26, '0')"
+
+
+_END = "timestampadd(MICROSECOND, CAST(ROUND(value * 60000000) AS BIGINT), ts)"
+
+_INCIDENT_COLUMNS = (
+    "event_id",
+    "1 + event_id % 4 AS severity",
+    """CASE WHEN event_id % 97 <> 0 THEN CAST(33.9 AS DOUBLE) + CAST(user_id * 13 % 30 AS DOUBLE) / 100
+         + CAST(event_id % 7 AS DOUBLE) / 1000 END AS start_lat""",
+    """CASE WHEN event_id % 89 <> 0 THEN CAST(-118.4 AS DOUBLE) + CAST(user_id * 29 % 40 AS DOUBLE) / 100
+         + CAST(event_id % 11 AS DOUBLE) / 1000 END AS start_lng""",
+    f"""CASE WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 101 = 0 THEN 'bad-time'
+         ELSE {_time_text("ts")} END AS start_time""",
+    f"{_time_text(_END)} AS end_time",
+    """CASE WHEN event_id % 53 = 0 THEN NULL WHEN hour(ts) BETWEEN 6 AND 17 THEN 'Day'
+         ELSE 'Night' END AS sunrise_sunset""",
+    """CASE WHEN event_id % 59 = 0 THEN NULL WHEN hour(ts) BETWEEN 5 AND 18 THEN 'Day'
+         ELSE 'Night' END AS astronomical_twilight""",
+    "CASE WHEN event_id % 61 <> 0 THEN 'S' || (user_id % 50) END AS state",
+    """CASE event_id % 9
+         WHEN 1 THEN 'I- ' || (5 + user_id % 12)
+         WHEN 2 THEN 'I-' || (5 + user_id % 12) || ' N'
+         WHEN 3 THEN 'us ' || (101 + user_id % 5)
+         WHEN 4 THEN 'Hawaii 5 Hwy'
+         WHEN 5 THEN 'Main St'
+         WHEN 6 THEN 'MAIN ST'
+         WHEN 7 THEN 'US - ' || (101 + user_id % 5)
+         WHEN 8 THEN 'i ' || (5 + user_id % 12) END AS street""",
+    "CASE WHEN event_id % 10 <> 0 THEN value / 100 END AS precipitation_in",
+    "CASE WHEN event_id % 13 <> 0 THEN 10 - value / 50 END AS visibility_mi",
+    "CASE WHEN event_id % 17 <> 0 THEN value / 10 END AS wind_speed_mph",
+    """CASE WHEN event_id % 19 <> 0
+         THEN 40 + 15 * CAST(event_id % 4 AS DOUBLE) + value / 20 END AS temperature_f""",
+    "CASE WHEN event_id % 23 <> 0 THEN CAST(20 + user_id % 80 AS DOUBLE) END AS humidity_pct",
+)
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,43 +66,13 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     A narrow projection of the whole table. Nulls and bad times are put in by
     key, as the source has none.
     """
-    event, user, ts, value = F.col("event_id"), F.col("user_id"), F.col("ts"), F.col("value")
-
-    def unless(divisor: int, column: Column) -> Column:
-        return F.when(event % divisor != 0, column)
-
-    lat = F.lit(33.9) + (user * 13 % 30).cast("double") / 100 + (event % 7).cast("double") / 1000
-    lng = F.lit(-118.4) + (user * 29 % 40).cast("double") / 100 + (event % 11).cast("double") / 1000
-    end = F.timestamp_add("MICROSECOND", F.round(value * 60_000_000).cast("long"), ts)
-    n, m = (5 + user % 12).cast("string"), (101 + user % 5).cast("string")
-    kind = event % 9
-    street = (
-        F.when(kind == 1, F.concat(F.lit("I- "), n))
-        .when(kind == 2, F.concat(F.lit("I-"), n, F.lit(" N")))
-        .when(kind == 3, F.concat(F.lit("us "), m))
-        .when(kind == 4, F.lit("Hawaii 5 Hwy"))
-        .when(kind == 5, F.lit("Main St"))
-        .when(kind == 6, F.lit("MAIN ST"))
-        .when(kind == 7, F.concat(F.lit("US - "), m))
-        .when(kind == 8, F.concat(F.lit("i "), n))
-    )
-    return table(spark, sf_dir, "events").select(
-        event,
-        (1 + event % 4).alias("severity"),
-        unless(97, lat).alias("start_lat"),
-        unless(89, lng).alias("start_lng"),
-        unless(103, F.when(event % 101 == 0, "bad-time").otherwise(_time_text(ts))).alias("start_time"),
-        _time_text(end).alias("end_time"),
-        unless(53, _daylight(ts, 6, 17)).alias("sunrise_sunset"),
-        unless(59, _daylight(ts, 5, 18)).alias("astronomical_twilight"),
-        unless(61, F.concat(F.lit("S"), (user % 50).cast("string"))).alias("state"),
-        street.alias("street"),
-        unless(10, value / 100).alias("precipitation_in"),
-        unless(13, 10 - value / 50).alias("visibility_mi"),
-        unless(17, value / 10).alias("wind_speed_mph"),
-        unless(19, 40 + 15 * (event % 4).cast("double") + value / 20).alias("temperature_f"),
-        unless(23, (20 + user % 80).cast("double")).alias("humidity_pct"),
-    )
+    return table(spark, sf_dir, "events").selectExpr(*_INCIDENT_COLUMNS)
+
+
+_CSV_HEAD = "event_id || ',' || user_id || ',' || event_type"
+_CSV_NUMBER = """CASE WHEN event_id % 103 = 0 THEN 'oops' WHEN event_id % 109 = 0 THEN 'N/A'
+                      ELSE CAST(value AS STRING) END"""
+_CSV_QUOTED = """'"' || replace(props, '"', '""') || '"'"""
 
 
 def event_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,18 +81,12 @@ def event_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Broken: two fields missing, one field too many, or a number that is none.
     Some numbers are a null token, and the last field holds quotes.
     """
-    event = F.col("event_id")
-    head = F.concat_ws(",", event.cast("string"), F.col("user_id").cast("string"), "event_type")
-    number = (
-        F.when(event % 103 == 0, "oops").when(event % 109 == 0, "N/A").otherwise(F.col("value").cast("string"))
-    )
-    quoted = F.concat(F.lit('"'), F.replace("props", F.lit('"'), F.lit('""')), F.lit('"'))
-    line = (
-        F.when(event % 101 == 0, head)
-        .when(event % 107 == 0, F.concat_ws(",", head, number, quoted, F.lit("surplus")))
-        .otherwise(F.concat_ws(",", head, number, quoted))
+    return table(spark, sf_dir, "events").selectExpr(
+        f"""{_CSV_HEAD} || CASE
+              WHEN event_id % 101 = 0 THEN ''
+              WHEN event_id % 107 = 0 THEN ',' || {_CSV_NUMBER} || ',' || {_CSV_QUOTED} || ',surplus'
+              ELSE ',' || {_CSV_NUMBER} || ',' || {_CSV_QUOTED} END AS value"""
     )
-    return table(spark, sf_dir, "events").select(line.alias("value"))
 
 
 EVENT_CSV_COLUMNS = ("event_id", "user_id", "event_type", "value", "props")

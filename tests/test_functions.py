@@ -61,6 +61,14 @@ def test_box_loses_no_hit(spark, lat0, lng0, km):
     assert boxed.select("lat", "lng").exceptAll(plain).isEmpty()
 
 
+def test_no_place_is_never_a_hit(spark):
+    """Null, NaN and infinite coordinates, whatever the radius."""
+    odd = [None, float("nan"), float("inf"), float("-inf")]
+    df = spark.createDataFrame([(a, b) for a in [*odd, 1.0] for b in odd] + [(a, 1.0) for a in odd], "lat double, lng double")
+    assert radius_search(df, "lat", "lng", 1.0, 1.0, 30000.0).isEmpty()
+    assert df.filter("lat IS NULL OR lng IS NULL").filter(great_circle_km("lat", "lng", 0.0, 0.0).isNotNull()).isEmpty()
+
+
 def test_box_is_selective(spark):
     df = spark.createDataFrame(WORLD, "lat double, lng double")
     assert df.filter(may_be_within("lat", "lng", 34.05, -118.24, 500.0)).count() < 50
