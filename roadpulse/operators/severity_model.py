@@ -12,6 +12,8 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadpulse.operators.profile import SAMPLE_ROWS
+
 NUMERIC = ("start_lat", "start_lng", "temperature_f", "humidity_pct", "visibility_mi")
 CATEGORICAL = ("sunrise_sunset", "state")
 
@@ -152,6 +154,13 @@ def train_and_predict(
     return Trained(model, model.transform(test))
 
 
+def prediction_sample(
+    predictions: DataFrame, key: str = "event_id", severity: str = "severity", n: int = SAMPLE_ROWS
+) -> DataFrame:
+    """Severity, prediction and feature vector of the first ``n`` scored rows."""
+    return predictions.orderBy(key).limit(n).select(severity, "prediction", "features")
+
+
 def threshold_prediction(features: DataFrame, column: str = "temperature_f") -> DataFrame:
     """A fixed rule in place of the tree, whose results SQL can repeat."""
     c = F.col(column)

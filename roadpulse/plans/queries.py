@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -348,3 +349,9 @@ def ml_train_predict(spark, sf_dir):
 @_query
 def ml_tree_metrics(spark, sf_dir):
     return model.quality(model.confusion(_tree_predictions(spark, sf_dir)))
+
+
+@_query
+def ml_prediction_sample(spark, sf_dir):
+    sample = model.prediction_sample(_tree_predictions(spark, sf_dir))
+    return sample.withColumn("features", vector_to_array("features"))

@@ -45,20 +45,17 @@ NULL_TOKENS = (
 INFERRED_TYPES = ("bigint", "double", "boolean", "date", "timestamp_ntz")
 
 # What a value has to look like besides passing the cast, which alone would take
-# Java spellings (1.5d, 0x1p3), "y" for true and the first part of a longer text.
-_REAL = r"^\s*[-+]?([0-9.]+([eE][-+]?[0-9]+)?|(?i:inf|infinity))\s*$"
+# "y" for true and the first part of a longer text.
 _SHAPES = {
-    "float": _REAL,
-    "double": _REAL,
     "boolean": r"^(?i:true|false)$",
     "date": r"^\d{4}-\d{2}-\d{2}$",
     "timestamp_ntz": r"^\d{4}-\d{2}-\d{2}[ T]",
 }
 
 _BOM = "﻿"
-_CORRUPT = "_corrupt"
 
-REASON, LINE = "reject_reason", "line"
+# Helper columns, named apart from any column of a file.
+_CORRUPT, _LINE, _REASON = "_corrupt", "_line", "_reject_reason"
 
 
 class Ingested(NamedTuple):
@@ -89,13 +86,11 @@ def split_lines(lines: DataFrame, columns: Sequence[str], line: str = "value") -
         schema,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "escape": '"'},
     )
-    # Inlined and not merely selected: a filter on the fields is not pushed below
-    # a generator, where it would parse the line again for every field it names.
-    fields = lines.select(F.col(line).alias(LINE), F.inline(F.array(parsed)))
+    fields = lines.select(F.col(line).alias(_LINE), parsed.alias("p"))
     return fields.select(
-        LINE,
-        _CORRUPT,
-        *[_null_if_token(F.col(s)).alias(name) for s, name in zip(slots, columns)],
+        _LINE,
+        F.col(f"p.{_CORRUPT}").alias(_CORRUPT),
+        *[_null_if_token(F.col(f"p.{s}")).alias(name) for s, name in zip(slots, columns)],
     )
 
 
@@ -103,11 +98,19 @@ def _null_if_token(value: Column) -> Column:
     return F.when(~value.isin(*NULL_TOKENS), value)
 
 
+def _java_number(value: Column) -> Column:
+    """Spellings that Java parses and no CSV writer means: 1.5d, 2f, 0x1p3."""
+    text = F.lower(F.rtrim(value))
+    return text.endswith("d") | (text.endswith("f") & ~text.endswith("inf")) | text.contains("x")
+
+
 def _cast(name: str, type_: str) -> Column:
     value = F.col(f"`{name}`")
     if type_ == "string":
         return value
     cast = value.try_cast(type_)
+    if type_ in ("double", "float"):
+        return F.when(~_java_number(value), cast)
     return F.when(value.rlike(_SHAPES[type_]), cast) if type_ in _SHAPES else cast
 
 
@@ -117,7 +120,7 @@ def infer_types(split: DataFrame, declared: Mapping[str, str] = DECLARED_TYPES)
     One aggregation over the whole input (an action), so no late value can
     contradict the result.
     """
-    names = [c for c in split.columns if c not in (LINE, _CORRUPT) and c not in declared]
+    names = [c for c in split.columns if c not in (_LINE, _CORRUPT) and c not in declared]
     if not names:
         return {}
     tests = []
@@ -135,10 +138,10 @@ def infer_types(split: DataFrame, declared: Mapping[str, str] = DECLARED_TYPES)
 
 def apply_types(split: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Typed columns, the raw line, and ``reject_reason`` (null on a clean row)."""
-    names = [c for c in split.columns if c not in (LINE, _CORRUPT)]
-    typed = {c: _cast(c, types.get(c, "string")) for c in names}
+    names = [c for c in split.columns if c not in (_LINE, _CORRUPT)]
+    slots = {c: f"_t{i}" for i, c in enumerate(names)}
     misfits = {
-        c: F.col(f"`{c}`").isNotNull() & typed[c].isNull()
+        c: F.col(f"`{c}`").isNotNull() & F.col(slots[c]).isNull()
         for c in names
         if types.get(c, "string") != "string"
     }
@@ -147,12 +150,20 @@ def apply_types(split: DataFrame, types: Mapping[str, str]) -> DataFrame:
         columns = F.concat_ws(",", *[F.when(misfit, F.lit(c)) for c, misfit in misfits.items()])
         any_misfit = functools.reduce(operator.or_, misfits.values())
         reason = reason.when(any_misfit, F.concat(F.lit("bad_value:"), columns))
-    return split.select(LINE, reason.alias(REASON), *[typed[c].alias(c) for c in names])
+    typed = split.select("*", *[_cast(c, types.get(c, "string")).alias(slots[c]) for c in names])
+    judged = typed.select(_LINE, reason.alias(_REASON), *[F.col(t).alias(c) for c, t in slots.items()])
+    # Inlined and not merely selected: a filter on the reason is not pushed below
+    # a generator, where it would parse the line and cast its fields once more
+    # for every mention.
+    row = F.struct(_LINE, _REASON, *[F.col(f"`{c}`") for c in names])
+    return judged.select(F.inline(F.array(row)))
 
 
 def split_clean_and_rejects(typed: DataFrame) -> Ingested:
-    clean = typed.filter(F.col(REASON).isNull()).drop(LINE, REASON)
-    rejects = typed.filter(F.col(REASON).isNotNull()).select(LINE, REASON)
+    clean = typed.filter(F.col(_REASON).isNull()).drop(_LINE, _REASON)
+    rejects = typed.filter(F.col(_REASON).isNotNull()).select(
+        F.col(_LINE).alias("line"), F.col(_REASON).alias("reject_reason")
+    )
     return Ingested(clean, rejects)
 
 
@@ -206,7 +217,8 @@ def ingest_csv(
     """Typed rows and rejected lines of CSV file(s) with a header.
 
     Only the header is read at once; ``infer=True`` also runs one pass to type
-    the undeclared columns. Files split between tasks at line ends.
+    the undeclared columns. Files split between tasks at line ends, and several
+    files have to share one header.
     """
     return split_clean_and_rejects(_typed_csv(spark, path, types, infer, rename))
 
@@ -231,6 +243,6 @@ def convert_csv(
     stage = spark.read.parquet(staged)
     keys = [k for k in keys if k in stage.columns]
     table = cluster_parquet(
-        spark, staged, out, keys, where=F.col(REASON).isNull(), drop=(LINE, REASON), **layout
+        spark, staged, out, keys, where=F.col(_REASON).isNull(), drop=(_LINE, _REASON), **layout
     )
     return Converted(table, split_clean_and_rejects(stage).rejects)

@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadpulse.sources import csv_ingest, layout, shared_dir, tables
-from roadpulse.sources.csv_ingest import LINE, REASON
 
 
 def test_snake_case():
@@ -59,7 +58,7 @@ def test_csv_rows_and_rejects(spark, tmp_path):
         "A-9": (4, float("inf"), None, None, None),
         "B-1": (1, 1.0, 2.0, "s", "t"),
     }
-    bad = {r[LINE].split(",")[0]: r[REASON] for r in rejects.collect()}
+    bad = {r["line"].split(",")[0]: r["reject_reason"] for r in rejects.collect()}
     assert bad == {
         "A-4": "field_count",
         "A-5": "field_count",
@@ -72,6 +71,13 @@ def test_csv_rows_and_rejects(spark, tmp_path):
     assert clean.select("id").count() == 5
 
 
+def test_helper_names_do_not_clash(spark, tmp_path):
+    path = _csv(tmp_path, "a.csv", "line,reject_reason,p,c0,Severity", "a,b,c,d,1", "a,b,c,d,x")
+    clean, rejects = csv_ingest.ingest_csv(spark, path)
+    assert [tuple(r) for r in clean.collect()] == [("a", "b", "c", "d", 1)]
+    assert [tuple(r) for r in rejects.collect()] == [("a,b,c,d,x", "bad_value:Severity")]
+
+
 def test_text_only_table(spark, tmp_path):
     path = _csv(tmp_path, "a.csv", "a,b", "1,2", "1", "1,2,3")
     clean, rejects = csv_ingest.ingest_csv(spark, path, types={})

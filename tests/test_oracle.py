@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry_file
 import compare
 
-ROWS_ONLY = {"layout_zone_map", "ml_train_predict", "ml_tree_metrics"}
+ROWS_ONLY = {"layout_zone_map", "ml_train_predict", "ml_tree_metrics", "ml_prediction_sample"}
 
 
 @pytest.fixture(scope="module", params=["sf0.001", "sf0.01"])
