@@ -55,7 +55,7 @@ def test_aggregations_start_on_the_map_side(stored):
         hotspots.cells_within_radius(stored),
     ):
         plan = _plan(df)
-        assert "partial_count(1)" in plan
+        assert "partial_count(" in plan
         assert "Python" not in plan
 
 
