@@ -82,7 +82,7 @@ def cells_within_radius(
     turn = 360 * scale
     angle = radius_km / EARTH_RADIUS_KM
     reach = math.degrees(angle) + 1e-9
-    phi, lam = F.col("lat"), F.col("lng")
+    phi, lam, i = F.col("lat"), F.col("lng"), F.col("i")
 
     rows = df if where is None else df.filter(where)
     points = (
@@ -91,39 +91,43 @@ def cells_within_radius(
         .groupBy("lat", "lng")
         .agg(F.count("*").alias("n"))
     )
-
-    # Half width in longitude of the disc; a disc over a pole takes all of it.
-    half_lng = F.when(F.abs(phi) + reach >= 90.0, 180.0).otherwise(
-        F.degrees(F.asin(F.least(F.lit(1.0), F.lit(math.sin(angle)) / F.cos(F.radians(phi))))) + 1e-9
-    )
     own_i = F.round(F.round(phi, decimals) * scale).cast("long")
     own_j = F.round(F.round(lam, decimals) * scale).cast("long")
-    first_j = F.least(F.col("own_j"), F.ceil((lam - half_lng) * scale))
-    last_j = F.greatest(F.col("own_j"), F.floor((lam + half_lng) * scale))
 
-    candidates = (
-        points.withColumns({"own_i": own_i, "own_j": own_j})
-        .withColumn(
-            "i",
-            F.explode(
-                F.sequence(
-                    F.least(F.col("own_i"), F.greatest(F.ceil((phi - reach) * scale), F.lit(-90 * scale))),
-                    F.greatest(F.col("own_i"), F.least(F.floor((phi + reach) * scale), F.lit(90 * scale))),
-                )
-            ),
-        )
-        .withColumns({"first_j": first_j, "last_j": last_j})
-        # At most one full turn, so no meridian comes twice.
-        .withColumn(
-            "j",
-            F.explode(F.sequence(F.col("first_j"), F.least(F.col("last_j"), F.col("first_j") + turn - 1))),
-        )
-        .withColumn("wrapped_j", F.pmod(F.col("j") + 180 * scale, F.lit(turn)) - 180 * scale)
+    # Lattice rows the disc can touch, and the row of the point's own cell.
+    first_i = F.greatest(F.ceil((phi - reach) * scale), F.lit(-90 * scale))
+    last_i = F.least(F.floor((phi + reach) * scale), F.lit(90 * scale))
+    by_row = points.withColumns({"own_i": own_i, "own_j": own_j}).withColumn(
+        "i", F.explode(F.sequence(F.least("own_i", first_i), F.greatest("own_i", last_i)))
+    )
+
+    # Half chord of the disc in that row, out of hav(d) = hav(dlat) + cos cos hav(dlng).
+    # All of the row where it lies inside; a little wider, as the distance decides.
+    row_phi = i / scale
+    hav_lat = F.pow(F.sin(F.radians(row_phi - phi) / 2), 2)
+    cosines = F.cos(F.radians(phi)) * F.cos(F.radians(row_phi))
+    hav_lng = (F.lit(math.sin(angle / 2) ** 2) - hav_lat) / F.greatest(cosines, F.lit(1e-300))
+    clamped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), hav_lng))
+    by_row = by_row.withColumn("half", F.degrees(F.asin(F.sqrt(clamped))) * 2 + 1e-6)
+    own_row = i == F.col("own_i")
+    first_j, last_j = F.ceil((lam - F.col("half")) * scale), F.floor((lam + F.col("half")) * scale)
+    by_row = by_row.withColumns(
+        {
+            "first_j": F.when(own_row, F.least("own_j", first_j)).otherwise(first_j),
+            "last_j": F.when(own_row, F.greatest("own_j", last_j)).otherwise(last_j),
+        }
+    )
+    # At most one full turn, so no meridian comes twice. No point in a row: null,
+    # which explodes to nothing (a filter would work the chord out again).
+    columns = F.when(
+        F.col("first_j") <= F.col("last_j"),
+        F.sequence("first_j", F.least(F.col("last_j"), F.col("first_j") + turn - 1)),
     )
-    is_own = (F.col("i") == F.col("own_i")) & (
-        F.pmod(F.col("j") - F.col("own_j"), F.lit(turn)) == 0
+    candidates = by_row.withColumn("j", F.explode(columns)).withColumn(
+        "wrapped_j", F.pmod(F.col("j") + 180 * scale, F.lit(turn)) - 180 * scale
     )
-    inside = great_circle_km(phi, lam, F.col("i") / scale, F.col("wrapped_j") / scale) <= float(radius_km)
+    is_own = own_row & (F.pmod(F.col("j") - F.col("own_j"), F.lit(turn)) == 0)
+    inside = great_circle_km(phi, lam, row_phi, F.col("wrapped_j") / scale) <= float(radius_km)
     return (
         candidates.select(
             "i",
@@ -131,7 +135,6 @@ def cells_within_radius(
             F.when(inside, F.col("n")).otherwise(F.lit(0)).alias("n"),
             is_own.alias("occupied"),
         )
-        .filter((F.col("n") > 0) | F.col("occupied"))
         .groupBy("i", "wrapped_j")
         .agg(F.sum("n").alias("incidents"), F.bool_or("occupied").alias("occupied"))
         .filter("occupied")

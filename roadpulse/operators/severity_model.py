@@ -53,8 +53,10 @@ def in_train(key: str | Column, share: float = TRAIN_SHARE) -> Column:
     depends on the key alone: not on partitioning, not on a retry.
     """
     key = F.col(key) if isinstance(key, str) else key
-    bound = format(round(share * 0x10000), "04x")
-    return F.substring(F.md5(key.cast("string")), 1, 4) < bound
+    bound = round(share * 0x10000)
+    if bound > 0xFFFF:
+        return key.isNotNull()
+    return F.substring(F.md5(key.cast("string")), 1, 4) < format(bound, "04x")
 
 
 def split(features: DataFrame, key: str = "event_id", share: float = TRAIN_SHARE) -> tuple[DataFrame, DataFrame]:

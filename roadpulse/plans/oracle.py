@@ -257,6 +257,13 @@ def oracle_sql() -> dict[str, str]:
         "ingest_rejects": _REJECTS,
         "ingest_csv_files": _CLEAN,
         "clustered_roundtrip": f"{incidents}\nSELECT * FROM incidents",
+        "layout_zone_totals": f"{incidents}\nSELECT COUNT(*) AS rows, "
+        + ", ".join(
+            f"{side}({key}) AS {side}_{key}"
+            for key in ("state", "start_lat", "start_lng", "street")
+            for side in ("min", "max")
+        )
+        + " FROM incidents",
         "sample_head": f"{incidents}\nSELECT event_id, severity, state, street, start_time, sunrise_sunset"
         " FROM incidents ORDER BY event_id LIMIT 5",
         "column_profile": _PROFILE,
@@ -296,6 +303,7 @@ def oracle_sql() -> dict[str, str]:
         "ml_label_counts": f"{features}\nSELECT label, COUNT(*) AS n FROM features GROUP BY label",
         "ml_category_index": f"{features}{_category('sunrise_sunset')}\nUNION ALL {_category('state')}",
         "ml_split_counts": f"{features}\nSELECT part, label, COUNT(*) AS n FROM features GROUP BY ALL",
+        "ml_test_rows": f"{features}\nSELECT event_id, severity, label FROM features WHERE part = 'test'",
         "ml_confusion": f"{_with(_INCIDENTS, _FEATURES, _CONFUSION)}\nSELECT * FROM confusion",
         "ml_metrics": _METRICS,
     }

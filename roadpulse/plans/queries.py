@@ -92,6 +92,17 @@ def layout_zone_map(spark, sf_dir):
     return layout.zone_map(spark, _clustered(spark, sf_dir))
 
 
+@_query
+def layout_zone_totals(spark, sf_dir):
+    zones = layout.zone_map(spark, _clustered(spark, sf_dir))
+    bounds = [
+        aggregate(f"{side}_{key}").alias(f"{side}_{key}")
+        for key in layout.CLUSTER_KEYS
+        for side, aggregate in (("min", F.min), ("max", F.max))
+    ]
+    return zones.agg(F.sum("rows").alias("rows"), *bounds)
+
+
 # --- first look -------------------------------------------------------------
 
 
@@ -323,6 +334,12 @@ def ml_split_counts(spark, sf_dir):
     return model.split_counts(_features(spark, sf_dir))
 
 
+@_query
+def ml_test_rows(spark, sf_dir):
+    _, test = model.split(_features(spark, sf_dir))
+    return test.select("event_id", "severity", "label")
+
+
 def _rule_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.confusion(model.threshold_prediction(_features(spark, sf_dir)))
 

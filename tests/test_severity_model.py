@@ -26,6 +26,8 @@ def test_split_depends_on_the_key_alone(features):
     assert train.count() + test.count() == features.count()
     assert 0.78 < train.count() / features.count() < 0.82
     assert model.split(features, share=0.5)[0].count() < train.count()
+    everything, nothing = model.split(features, share=1.0)
+    assert everything.count() == features.count() and nothing.isEmpty()
 
 
 def test_category_order(spark):
