@@ -74,13 +74,14 @@ def cells_within_radius(
 
     No join and no pairs of rows. Every distinct coordinate, with its row count,
     is sent to the lattice points its disc can cover; how many these are depends
-    on the radius alone (about 16 for 2 km), not on how dense the place is. The
-    exact distance then decides, and counts add up per lattice point on the map
-    side before they are shuffled. A cell is occupied if a row rounds to it.
+    on radius and latitude (about 13 for 2 km in the south of the country), not
+    on how dense the place is. The exact distance then decides, and counts add up
+    per lattice point on the map side before they are shuffled. A cell is
+    occupied if a row rounds to it.
     """
     scale = 10**decimals
     turn = 360 * scale
-    angle = radius_km / EARTH_RADIUS_KM
+    angle = min(radius_km / EARTH_RADIUS_KM, math.pi)
     reach = math.degrees(angle) + 1e-9
     phi, lam, i = F.col("lat"), F.col("lng"), F.col("i")
 

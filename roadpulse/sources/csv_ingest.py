@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.sources.layout import ClusteredTable, cluster_parquet
+from roadpulse.sources.layout import CLUSTER_KEYS, ClusteredTable, cluster_parquet
 from roadpulse.sources.shared_dir import scratch_path
 
 # Declared column types. Times stay text, as their formats vary;
@@ -52,7 +52,7 @@ _SHAPES = {
     "timestamp_ntz": r"^\d{4}-\d{2}-\d{2}[ T]",
 }
 
-_BOM = "﻿"
+_BOM = "\ufeff"
 
 # Helper columns, named apart from any column of a file.
 _CORRUPT, _LINE, _REASON = "_corrupt", "_line", "_reject_reason"
@@ -137,7 +137,7 @@ def infer_types(split: DataFrame, declared: Mapping[str, str] = DECLARED_TYPES)
 
 
 def apply_types(split: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Typed columns, the raw line, and ``reject_reason`` (null on a clean row)."""
+    """Typed columns, and the raw line with a reason on rows to reject."""
     names = [c for c in split.columns if c not in (_LINE, _CORRUPT)]
     slots = {c: f"_t{i}" for i, c in enumerate(names)}
     misfits = {
@@ -155,7 +155,8 @@ def apply_types(split: DataFrame, types: Mapping[str, str]) -> DataFrame:
     # Inlined and not merely selected: a filter on the reason is not pushed below
     # a generator, where it would parse the line and cast its fields once more
     # for every mention.
-    row = F.struct(_LINE, _REASON, *[F.col(f"`{c}`") for c in names])
+    rejected_line = F.when(F.col(_REASON).isNotNull(), F.col(_LINE)).alias(_LINE)
+    row = F.struct(rejected_line, _REASON, *[F.col(f"`{c}`") for c in names])
     return judged.select(F.inline(F.array(row)))
 
 
@@ -227,16 +228,16 @@ def convert_csv(
     spark: SparkSession,
     path: str,
     out: str,
-    keys: Sequence[str] = ("state", "start_lat", "start_lng", "street"),
+    keys: Sequence[str] = CLUSTER_KEYS,
     types: Mapping[str, str] = DECLARED_TYPES,
     infer: bool = False,
     **layout,
 ) -> Converted:
     """CSV to a clustered Parquet table at ``out``; returns it with the rejects.
 
-    The text is parsed once, into Parquet in the shared scratch folder. The
-    sampling and the sort of the clustering then read that copy, and the
-    rejects are a filter on one of its columns.
+    The text is parsed once (and once before, with ``infer``), into Parquet in
+    the shared scratch folder. The sampling and the sort of the clustering then
+    read that copy, and the rejects are a filter on one of its columns.
     """
     staged = scratch_path(spark, "csv-staged")
     _typed_csv(spark, path, types, infer, rename=True).write.option("compression", "zstd").parquet(staged)

@@ -75,6 +75,15 @@ def test_radius_hotspots_equal_brute_force(spark, kind, km):
     assert got == want
 
 
+@pytest.mark.parametrize("km", [15_000.0, 25_000.0])
+def test_radius_hotspots_with_a_world_wide_radius(spark, km):
+    pts = [(10.0, 20.0), (-10.0, -160.0), (50.0, 170.0), (-80.0, 0.0)]
+    df = spark.createDataFrame(pts, "start_lat double, start_lng double")
+    want = {c: sum(_distance(c, p) <= km for p in pts) for c in pts}
+    cells = hotspots.cells_within_radius(df, km, decimals=0).collect()
+    assert {(r["lat_cell"], r["lng_cell"]): r["incidents"] for r in cells} == want
+
+
 def test_radius_hotspots_over_a_pole(spark):
     df = spark.createDataFrame([(89.995, 10.0), (89.995, -170.0), (None, 1.0)], "start_lat double, start_lng double")
     cells = hotspots.cells_within_radius(df, 2.0, decimals=1).collect()
