@@ -38,15 +38,16 @@ def daily_rollup(
     else:
         raise ValueError(f"day_from must be 'parsed' or 'prefix', not {day_from!r}")
     return (
-        df.filter(F.col(time).isNotNull() & F.col(entity).isNotNull())
+        df.filter(F.col(entity).isNotNull())
         .select(F.col(entity), day.alias("day"), *[F.col(c) for c in dict.fromkeys(means.values())])
         .groupBy(entity, "day")
         .agg(
             F.count("day").alias("day_incidents"),
             *[F.avg(c).alias(name) for name, c in means.items()],
         )
-        # Rows without a day end up in a group that counts none. A filter on the
-        # day itself would move below the grouping and parse every time twice.
+        # Rows without a time, or one that does not parse, end up in a group that
+        # counts none. A filter on the day itself would move below the grouping
+        # and parse every time twice.
         .filter(F.col("day_incidents") > 0)
     )
 

@@ -371,4 +371,4 @@ def ml_tree_metrics(spark, sf_dir):
 @_query
 def ml_prediction_sample(spark, sf_dir):
     sample = model.prediction_sample(_tree_predictions(spark, sf_dir))
-    return sample.withColumn("features", vector_to_array("features"))
+    return sample.withColumn("features", F.to_json(vector_to_array("features")))

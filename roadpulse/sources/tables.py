@@ -28,14 +28,17 @@ def read_incidents(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumnsRenamed({c: snake_case(c) for c in df.columns})
 
 
-# Timestamps as "yyyy-MM-dd HH:mm:ss.SSSSSS". The cast drops trailing zeros (and
-# the point), and unlike date_format it does not look at the session's time zone.
-def _time_text(ts: str) -> str:
-    text = f"CAST({ts} AS STRING)"
-    return f"rpad(if(length({text}) = 19, {text} || '.', {text}), 26, '0')"
+# The cast of a timestamp does not look at the session's time zone, unlike
+# date_format. It drops trailing zeros and the point; _full_text puts them back.
+_TIME_TEXTS = (
+    "CAST(ts AS STRING) AS start_text",
+    "CAST(timestampadd(MICROSECOND, CAST(floor(value * 60000000 + 0.5) AS BIGINT), ts) AS STRING) AS end_text",
+)
 
 
-_END = "timestampadd(MICROSECOND, CAST(ROUND(value * 60000000) AS BIGINT), ts)"
+def _full_text(text: str) -> str:
+    return f"rpad(if(length({text}) = 19, {text} || '.', {text}), 26, '0')"
+
 
 _INCIDENT_COLUMNS = (
     "event_id",
@@ -45,8 +48,8 @@ _INCIDENT_COLUMNS = (
     """CASE WHEN event_id % 89 <> 0 THEN CAST(-118.4 AS DOUBLE) + CAST(user_id * 29 % 40 AS DOUBLE) / 100
          + CAST(event_id % 11 AS DOUBLE) / 1000 END AS start_lng""",
     f"""CASE WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 101 = 0 THEN 'bad-time'
-         ELSE {_time_text("ts")} END AS start_time""",
-    f"{_time_text(_END)} AS end_time",
+         ELSE {_full_text("start_text")} END AS start_time""",
+    f"{_full_text("end_text")} AS end_time",
     """CASE WHEN event_id % 53 = 0 THEN NULL WHEN hour(ts) BETWEEN 6 AND 17 THEN 'Day'
          ELSE 'Night' END AS sunrise_sunset""",
     """CASE WHEN event_id % 59 = 0 THEN NULL WHEN hour(ts) BETWEEN 5 AND 18 THEN 'Day'
@@ -76,7 +79,7 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     A narrow projection of the whole table. Nulls and bad times are put in by
     key, as the source has none.
     """
-    return table(spark, sf_dir, "events").selectExpr(*_INCIDENT_COLUMNS)
+    return table(spark, sf_dir, "events").selectExpr("*", *_TIME_TEXTS).selectExpr(*_INCIDENT_COLUMNS)
 
 
 _CSV_HEAD = "event_id || ',' || user_id || ',' || event_type"
