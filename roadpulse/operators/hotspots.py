@@ -91,6 +91,9 @@ def cells_within_radius(
         .filter(phi.between(-90.0, 90.0) & lam.between(-180.0, 180.0))
         .groupBy("lat", "lng")
         .agg(F.count("*").alias("n"))
+        # Neighbours to the same task, so that the sums below start there: what is
+        # shuffled next grows with the places and not with the points.
+        .repartitionByRange(F.floor(phi * 2), "lng", "lat")
     )
     own_i = F.round(F.round(phi, decimals) * scale).cast("long")
     own_j = F.round(F.round(lam, decimals) * scale).cast("long")
