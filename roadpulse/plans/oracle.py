@@ -102,9 +102,10 @@ _BY_COUNT = "ORDER BY incidents DESC, lat_cell, lng_cell LIMIT 5"
 
 
 def _route(street: str, boundary: str = "") -> tuple[str, str]:
-    found = f"regexp_extract(upper({street}), '{boundary}(I\\s*-\\s*\\d+|US\\s*-\\s*\\d+|US\\s+\\d+|I\\s+\\d+)', 1)"
-    dashed = f"regexp_replace(regexp_replace({found}, '\\s+', '', 'g'), '([A-Z])(\\d)', '\\1-\\2', 'g')"
-    return f"CASE WHEN {found} <> '' THEN {dashed}", f"{found} <> ''"
+    named = f"regexp_extract(upper({street}), '{boundary}(I|US)(\\s*-\\s*|\\s+)\\d+')"
+    letters = f"regexp_replace({named}, '[^A-Z]', '', 'g')"
+    digits = f"regexp_replace({named}, '[^0-9]', '', 'g')"
+    return f"CASE WHEN {named} <> '' THEN {letters} || '-' || {digits}", f"{named} <> ''"
 
 
 def _routes(boundary: str = "") -> str:

@@ -1,4 +1,6 @@
+import itertools
 import math
+import random
 from datetime import date, datetime
 
 import pytest
@@ -112,6 +114,40 @@ def test_routes(spark):
     assert got == STREETS
 
 
+def _blanks(text, at):
+    while at < len(text) and text[at] in " \t":
+        at += 1
+    return at
+
+
+def _route_by_hand(street):
+    """Letters, then a dash or some blanks (or both), then a number; first place wins."""
+    text = street.upper()
+    for at in range(len(text)):
+        system = next((s for s in ("I", "US") if text.startswith(s, at)), None)
+        if system is None:
+            continue
+        after = at + len(system)
+        number = _blanks(text, after)
+        if text[number : number + 1] == "-":
+            number = _blanks(text, number + 1)
+        elif number == after:
+            continue
+        digits = "".join(itertools.takewhile(str.isdigit, text[number:]))
+        if digits:
+            return f"{system}-{digits}"
+    return street
+
+
+def test_routes_of_random_streets(spark):
+    rnd = random.Random(11)
+    streets = {"".join(rnd.choices(["I", "i", "US", "us", "-", " ", "  ", "\t", "5", "10", "x"], k=rnd.randint(1, 9))) for _ in range(6000)}
+    df = spark.createDataFrame([(s,) for s in streets], "street string")
+    got = {r["street"]: r["route"] for r in df.withColumn("route", normalise_route("street")).collect()}
+    assert got == {s: _route_by_hand(s) for s in streets}
+    assert sum(got[s] != s for s in streets) > 500
+
+
 def test_anchored_route_needs_a_word_start(spark):
     df = spark.createDataFrame([("Hawaii 5 Hwy",), ("Old I-5",), (None,)], "street string")
     got = [r[0] for r in df.select(highway("street", anchored=True)).collect()]
