@@ -1,5 +1,6 @@
 import glob
 import os
+from types import SimpleNamespace
 
 import pyarrow.parquet as pq
 import pytest
@@ -199,3 +200,16 @@ def test_scratch_paths_are_under_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = (shared_dir.scratch_path(spark, "x") for _ in range(2))
     assert one.startswith(base) and one != two
+
+
+def _session_with(**settings):
+    named = {k.replace("_", "."): v for k, v in settings.items()}
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: named.get(key, default)))
+
+
+def test_a_cluster_needs_the_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir.scratch_path(_session_with(spark_master="yarn"), "x")
+    path = shared_dir.scratch_path(_session_with(spark_checkpoint_dir="hdfs://name/shared/"), "x")
+    assert path.startswith("hdfs://name/shared/x-")
+    assert os.path.isdir(os.path.dirname(shared_dir.scratch_path(_session_with(spark_master="local[2]"), "x")))
