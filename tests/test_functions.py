@@ -160,6 +160,7 @@ def test_times(spark):
             ("2024-01-05 10:00:00", "2024-01-05 10:30:00"),
             ("2024-01-06 10:00:00.9", "2024-01-06 10:00:02.1"),
             ("2024-01-07 23:59:59.999999", "2024-01-08"),
+            ("2016-02-08 00:37:08.000000000", "2016-02-08 06:37:08"),
             ("not a date", "2024-01-08 00:00:00"),
             (None, None),
         ],
@@ -167,8 +168,8 @@ def test_times(spark):
     )
     start, end = parse_time("s"), parse_time("e")
     rows = df.select(start.alias("ts"), elapsed_seconds(start, end).alias("sec"), day_type(start).alias("d")).collect()
-    assert [r["sec"] for r in rows] == [1800, 2, 1, None, None]
-    assert [r["d"] for r in rows] == ["weekday", "weekend", "weekend", "unknown", "unknown"]
+    assert [r["sec"] for r in rows] == [1800, 2, 1, 21600, None, None]
+    assert [r["d"] for r in rows] == ["weekday", "weekend", "weekend", "weekday", "unknown", "unknown"]
     assert rows[0]["ts"] == datetime(2024, 1, 5, 10)
 
 
