@@ -52,10 +52,12 @@ _SHAPES = {
     "timestamp_ntz": r"^\d{4}-\d{2}-\d{2}[ T]",
 }
 
+_NUMBER = r"^\s*[-+]?([0-9.]+([eE][-+]?[0-9]+)?|(?i:inf|infinity))\s*$"
+
 _BOM = "\ufeff"
 
 # Helper columns, named apart from any column of a file.
-_CORRUPT, _LINE, _REASON = "_corrupt", "_line", "_reject_reason"
+_CORRUPT, _FIELDS, _LINE, _REASON = "_corrupt", "_fields", "_line", "_reject_reason"
 
 
 class Ingested(NamedTuple):
@@ -73,39 +75,36 @@ def snake_case(name: str) -> str:
     return re.sub(r"[^0-9a-z]+", "_", name.lower().replace("%", "pct")).strip("_")
 
 
-def split_lines(lines: DataFrame, columns: Sequence[str], line: str = "value") -> DataFrame:
-    """CSV text lines to text columns, plus the line and ``_corrupt``.
+def split_lines(lines: DataFrame, width: int, line: str = "value") -> DataFrame:
+    """CSV text lines to an array of ``width`` texts, plus the line and ``_corrupt``.
 
     The raw line stays at hand for the rejects, and ``_corrupt`` is set where
-    the number of fields is wrong, whichever columns a later step reads.
+    the number of fields is wrong, whichever columns a later step reads. One
+    array and not a column each: code for every column of a wide file by itself
+    grows past what the JVM compiles.
     """
-    slots = [f"c{i}" for i in range(len(columns))]
+    slots = [f"c{i}" for i in range(width)]
     schema = ", ".join(f"{s} STRING" for s in [*slots, _CORRUPT])
     parsed = F.from_csv(
         line,
         schema,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "escape": '"'},
     )
-    fields = lines.select(F.col(line).alias(_LINE), parsed.alias("p"))
-    return fields.select(
+    texts = F.array(*[F.col(f"p.{s}") for s in slots])
+    return lines.select(F.col(line).alias(_LINE), parsed.alias("p")).select(
         _LINE,
         F.col(f"p.{_CORRUPT}").alias(_CORRUPT),
-        *[_null_if_token(F.col(f"p.{s}")).alias(name) for s, name in zip(slots, columns)],
+        F.transform(texts, lambda text: F.when(~text.isin(*NULL_TOKENS), text)).alias(_FIELDS),
     )
 
 
-def _null_if_token(value: Column) -> Column:
-    return F.when(~value.isin(*NULL_TOKENS), value)
-
-
 def _java_number(value: Column) -> Column:
     """Spellings that Java parses and no CSV writer means: 1.5d, 2f, 0x1p3."""
     text = F.lower(F.rtrim(value))
     return text.endswith("d") | (text.endswith("f") & ~text.endswith("inf")) | text.contains("x")
 
 
-def _cast(name: str, type_: str) -> Column:
-    value = F.col(f"`{name}`")
+def _cast(value: Column, type_: str) -> Column:
     if type_ == "string":
         return value
     cast = value.try_cast(type_)
@@ -114,50 +113,70 @@ def _cast(name: str, type_: str) -> Column:
     return F.when(value.rlike(_SHAPES[type_]), cast) if type_ in _SHAPES else cast
 
 
-def infer_types(split: DataFrame, declared: Mapping[str, str] = DECLARED_TYPES) -> dict[str, str]:
+def _probe(value: Column, type_: str) -> Column:
+    """The cast, kept from text that is plainly no number: it fails by exception."""
+    cast = _cast(value, type_)
+    return F.when(value.rlike(_NUMBER), cast) if type_ in ("bigint", "double") else cast
+
+
+def infer_types(
+    split: DataFrame, columns: Sequence[str], declared: Mapping[str, str] = DECLARED_TYPES
+) -> dict[str, str]:
     """Types for undeclared columns: the first that fits *all* their values.
 
     One aggregation over the whole input (an action), so no late value can
-    contradict the result.
+    contradict the result. Its groups are the columns.
     """
-    names = [c for c in split.columns if c not in (_LINE, _CORRUPT) and c not in declared]
-    if not names:
+    places = [i for i, c in enumerate(columns) if c not in declared]
+    if not places:
         return {}
-    tests = []
-    for i, name in enumerate(names):
-        tests.append(F.count(F.col(f"`{name}`")).alias(f"n{i}"))
-        tests += [F.count(_cast(name, t)).alias(f"n{i}_{t}") for t in INFERRED_TYPES]
-    counts = split.filter(F.col(_CORRUPT).isNull()).agg(*tests).first()
-    found = {}
-    for i, name in enumerate(names):
-        present = counts[f"n{i}"]
-        fits = [t for t in INFERRED_TYPES if present and counts[f"n{i}_{t}"] == present]
-        found[name] = fits[0] if fits else "string"
+    value = F.col("value")
+    rows = (
+        split.filter(F.col(_CORRUPT).isNull())
+        .select(F.posexplode(_FIELDS).alias("place", "value"))
+        .filter(F.col("place").isin(*places))
+        .groupBy("place")
+        .agg(F.count(value).alias("present"), *[F.count(_probe(value, t)).alias(t) for t in INFERRED_TYPES])
+        .collect()
+    )
+    found = {columns[i]: "string" for i in places}
+    for row in rows:
+        fits = [t for t in INFERRED_TYPES if row["present"] and row[t] == row["present"]]
+        if fits:
+            found[columns[row["place"]]] = fits[0]
     return found
 
 
-def apply_types(split: DataFrame, types: Mapping[str, str]) -> DataFrame:
+def apply_types(split: DataFrame, columns: Sequence[str], types: Mapping[str, str]) -> DataFrame:
     """Typed columns, and the raw line with a reason on rows to reject."""
-    names = [c for c in split.columns if c not in (_LINE, _CORRUPT)]
-    slots = {c: f"_t{i}" for i, c in enumerate(names)}
-    misfits = {
-        c: F.col(f"`{c}`").isNotNull() & F.col(slots[c]).isNull()
-        for c in names
+    raw = [F.get(_FIELDS, F.lit(i)) for i in range(len(columns))]
+    typed = [_cast(value, types.get(c, "string")) for c, value in zip(columns, raw)]
+    misfits = [
+        F.when(value.isNotNull() & cast.isNull(), F.lit(c))
+        for c, value, cast in zip(columns, raw, typed)
         if types.get(c, "string") != "string"
-    }
-    reason = F.when(F.col(_CORRUPT).isNotNull(), F.lit("field_count"))
-    if misfits:
-        columns = F.concat_ws(",", *[F.when(misfit, F.lit(c)) for c, misfit in misfits.items()])
-        any_misfit = functools.reduce(operator.or_, misfits.values())
-        reason = reason.when(any_misfit, F.concat(F.lit("bad_value:"), columns))
-    typed = split.select("*", *[_cast(c, types.get(c, "string")).alias(slots[c]) for c in names])
-    judged = typed.select(_LINE, reason.alias(_REASON), *[F.col(t).alias(c) for c, t in slots.items()])
-    # Inlined and not merely selected: a filter on the reason is not pushed below
+    ]
+    names = F.array(*misfits) if misfits else F.array().cast("array<string>")
+    judged = split.select(
+        _LINE,
+        _CORRUPT,
+        F.filter(names, lambda name: name.isNotNull()).alias("misfits"),
+        F.struct(*[cast.alias(f"t{i}") for i, cast in enumerate(typed)]).alias("typed"),
+    )
+    reason = F.when(F.col(_CORRUPT).isNotNull(), F.lit("field_count")).when(
+        F.size("misfits") > 0, F.concat(F.lit("bad_value:"), F.array_join("misfits", ","))
+    )
+    row = F.struct(
+        F.when(reason.isNotNull(), F.col(_LINE)).alias(_LINE), reason.alias(_REASON), F.col("typed")
+    )
+    # Exploded and not merely selected: a filter on the reason is not pushed below
     # a generator, where it would parse the line and cast its fields once more
     # for every mention.
-    rejected_line = F.when(F.col(_REASON).isNotNull(), F.col(_LINE)).alias(_LINE)
-    row = F.struct(rejected_line, _REASON, *[F.col(f"`{c}`") for c in names])
-    return judged.select(F.inline(F.array(row)))
+    return judged.select(F.explode(F.array(row)).alias("r")).select(
+        F.col(f"r.{_LINE}").alias(_LINE),
+        F.col(f"r.{_REASON}").alias(_REASON),
+        *[F.col(f"r.typed.t{i}").alias(c) for i, c in enumerate(columns)],
+    )
 
 
 def split_clean_and_rejects(typed: DataFrame) -> Ingested:
@@ -180,7 +199,7 @@ def ingest_lines(
     number of fields is wrong or a value does not fit its declared type.
     """
     return split_clean_and_rejects(
-        apply_types(split_lines(lines.filter(F.col(line) != ""), columns, line), types)
+        apply_types(split_lines(lines.filter(F.col(line) != ""), len(columns), line), columns, types)
     )
 
 
@@ -201,10 +220,10 @@ def _typed_csv(
     spark: SparkSession, path: str, types: Mapping[str, str], infer: bool, rename: bool
 ) -> DataFrame:
     columns, lines = _header_and_lines(spark, path)
-    split = split_lines(lines, columns)
+    split = split_lines(lines, len(columns))
     if infer:
-        types = {**infer_types(split, types), **types}
-    typed = apply_types(split, types)
+        types = {**infer_types(split, columns, types), **types}
+    typed = apply_types(split, columns, types)
     return typed.withColumnsRenamed({c: snake_case(c) for c in columns}) if rename else typed
 
 
