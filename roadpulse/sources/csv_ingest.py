@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.sources.layout import CLUSTER_KEYS, ClusteredTable, cluster_parquet
-from roadpulse.sources.shared_dir import scratch_path
+from roadpulse.sources.shared_dir import scratch_path, written
 
 # Declared column types. Times stay text, as their formats vary;
 # a column that is not named here is text as well, unless types are inferred.
@@ -52,6 +52,8 @@ _SHAPES = {
     "timestamp_ntz": r"^\d{4}-\d{2}-\d{2}[ T]",
 }
 
+# Spellings that Java parses and no CSV writer means: 1.5d, 2f, 0x1p3.
+_JAVA_NUMBER = "[dDxX]|[0-9.][fF]"
 _NUMBER = r"^\s*[-+]?([0-9.]+([eE][-+]?[0-9]+)?|(?i:inf|infinity))\s*$"
 
 _BOM = "\ufeff"
@@ -98,18 +100,12 @@ def split_lines(lines: DataFrame, width: int, line: str = "value") -> DataFrame:
     )
 
 
-def _java_number(value: Column) -> Column:
-    """Spellings that Java parses and no CSV writer means: 1.5d, 2f, 0x1p3."""
-    text = F.lower(F.rtrim(value))
-    return text.endswith("d") | (text.endswith("f") & ~text.endswith("inf")) | text.contains("x")
-
-
 def _cast(value: Column, type_: str) -> Column:
     if type_ == "string":
         return value
     cast = value.try_cast(type_)
     if type_ in ("double", "float"):
-        return F.when(~_java_number(value), cast)
+        return F.when(~value.rlike(_JAVA_NUMBER), cast)
     return F.when(value.rlike(_SHAPES[type_]), cast) if type_ in _SHAPES else cast
 
 
@@ -125,7 +121,8 @@ def infer_types(
     """Types for undeclared columns: the first that fits *all* their values.
 
     One aggregation over the whole input (an action), so no late value can
-    contradict the result. Its groups are the columns.
+    contradict the result. Its groups are the columns. ``split`` should be a
+    written one: exploding straight from the parser is many times slower.
     """
     places = [i for i, c in enumerate(columns) if c not in declared]
     if not places:
@@ -222,6 +219,7 @@ def _typed_csv(
     columns, lines = _header_and_lines(spark, path)
     split = split_lines(lines, len(columns))
     if infer:
+        split = written(split, "csv-split")
         types = {**infer_types(split, columns, types), **types}
     typed = apply_types(split, columns, types)
     return typed.withColumnsRenamed({c: snake_case(c) for c in columns}) if rename else typed
@@ -236,9 +234,10 @@ def ingest_csv(
 ) -> Ingested:
     """Typed rows and rejected lines of CSV file(s) with a header.
 
-    Only the header is read at once; ``infer=True`` also runs one pass to type
-    the undeclared columns. Files split between tasks at line ends, and several
-    files have to share one header.
+    Only the header is read at once. ``infer=True`` types the undeclared columns
+    too: it writes the split text to the shared folder, looks at all of it, and
+    the result reads that copy. Files split between tasks at line ends, and
+    several files have to share one header.
     """
     return split_clean_and_rejects(_typed_csv(spark, path, types, infer, rename))
 
@@ -254,9 +253,9 @@ def convert_csv(
 ) -> Converted:
     """CSV to a clustered Parquet table at ``out``; returns it with the rejects.
 
-    The text is parsed once (and once before, with ``infer``), into Parquet in
-    the shared scratch folder. The sampling and the sort of the clustering then
-    read that copy, and the rejects are a filter on one of its columns.
+    The text is parsed once, into Parquet in the shared scratch folder. The
+    sampling and the sort of the clustering then read that copy, and the rejects
+    are a filter on one of its columns.
     """
     staged = scratch_path(spark, "csv-staged")
     _typed_csv(spark, path, types, infer, rename=True).write.option("compression", "zstd").parquet(staged)
