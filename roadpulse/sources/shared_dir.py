@@ -2,32 +2,27 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@functools.cache
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="roadpulse-")
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path under the folder named by ``spark.checkpoint.dir``.
+    """A new path under ``spark.checkpoint.dir``, else under the warehouse.
 
-    Only a local session may do without that setting: there, the driver's
-    temporary folder is the one folder all tasks share.
+    Both are storage that the session's executors share; the machine's temporary
+    folder is not. The caller removes what is written there.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = _local_base()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever it is stored; one that is not there is no error."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` computed once into the shared folder, and read from there (an action).
 

@@ -207,9 +207,8 @@ def _session_with(**settings):
     return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: named.get(key, default)))
 
 
-def test_a_cluster_needs_the_shared_folder():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir.scratch_path(_session_with(spark_master="yarn"), "x")
+def test_scratch_paths_without_a_checkpoint_folder_are_in_the_warehouse():
     path = shared_dir.scratch_path(_session_with(spark_checkpoint_dir="hdfs://name/shared/"), "x")
     assert path.startswith("hdfs://name/shared/x-")
-    assert os.path.isdir(os.path.dirname(shared_dir.scratch_path(_session_with(spark_master="local[2]"), "x")))
+    with_warehouse = SimpleNamespace(conf=SimpleNamespace(get=lambda key, *d: {"spark.sql.warehouse.dir": "hdfs://name/w"}.get(key, *d)))
+    assert shared_dir.scratch_path(with_warehouse, "x").startswith("hdfs://name/w/x-")
