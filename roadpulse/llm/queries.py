@@ -6,20 +6,58 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadpulse.llm import exact_dedup, source_mix
+from roadpulse.llm import (
+    best_fit_packing,
+    exact_dedup,
+    jaccard_join,
+    license_scan,
+    quality_rules,
+    source_mix,
+    token_counts,
+)
 from roadpulse.llm.common import documents
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.pack_documents(documents(spark, sf_dir))
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.jaccard_components(documents(spark, sf_dir))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.clean_lines(documents(spark, sf_dir), carry=["doc_id"], with_text=False)
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lost_words", "base_failed", "kept"
+    )
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix_sources(documents(spark, sf_dir))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(documents(spark, sf_dir), carry=["doc_id"]).drop("spans")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir), carry=["doc_id"])
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op7_source_mix": op7_source_mix,
-        "op10_exact_dedup": op10_exact_dedup,
-    }
+    found = [
+        op3_best_fit_packing,
+        op4_jaccard_join,
+        op6_quality_rules,
+        op7_source_mix,
+        op8_token_counts,
+        op9_license_scan,
+        op10_exact_dedup,
+    ]
+    return {query.__name__: query for query in found}
