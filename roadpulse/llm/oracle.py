@@ -4,6 +4,63 @@ from __future__ import annotations
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
+_WORD = r"[^\x20\x09-\x0D]+"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP4 = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, hash(list_slice(w, i, i + 3)) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.h = b.h AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+reach AS (
+  SELECT doc_id AS v, doc_id AS u FROM documents
+  UNION SELECT r.v, l.b FROM reach r JOIN links l ON r.u = l.a)
+SELECT r.v AS doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.u) AS component_id
+FROM reach r LEFT JOIN sizes s ON s.doc_id = r.v GROUP BY r.v
+"""
+
+OP6 = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, list_slice(w, i, i + 7) AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) > 7)),
+twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, x) > 1),
+covered AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS j FROM twice) GROUP BY doc_id),
+split AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS pos FROM d),
+lines AS (
+  SELECT *, regexp_extract_all(line, '{_WORD}') AS lw,
+         row_number() OVER (PARTITION BY doc_id, line ORDER BY pos) > 1 AS again,
+         len(regexp_extract_all(line, '[|»›·•→]')) AS seps
+  FROM split WHERE regexp_matches(line, '{_WORD}')),
+failed AS (
+  SELECT *, seps >= 3 AND len(lw) <= 3 * (seps + 1)
+      OR 10 * length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) > length(regexp_replace(line, '{_SPACE}', '', 'g'))
+      OR regexp_matches(lower(line), 'all rights reserved|cookie policy|cookie settings|accept cookies|privacy policy|terms of use|terms of service|enable javascript|lorem ipsum|click here|subscribe to our newsletter|skip to content|powered by')
+      OR again OR len(lw) >= 8 AND 5 * len(list_distinct(lw)) < len(lw) AS fails
+  FROM lines),
+per_doc AS (
+  SELECT doc_id, sum(CASE WHEN again THEN 1 ELSE 0 END) AS dup, sum(CASE WHEN fails THEN len(lw) ELSE 0 END) AS lost
+  FROM failed GROUP BY doc_id),
+judged AS (
+  SELECT d.doc_id, len(w) AS n_words, length(regexp_replace(text, '{_SPACE}', '', 'g')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup, 0) AS n_dup_lines,
+         coalesce(c.n, 0) AS n_repeat_words, coalesce(lost, 0) AS n_lost_words
+  FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN per_doc USING (doc_id))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+       CAST(n_lost_words AS BIGINT) AS n_lost_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND 100 * n_lost_words <= 50 * n_words AS kept
+FROM judged
+"""
+
 OP7 = rf"""
 WITH sized AS (
   SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), 'text:' || coalesce(text, ''))) AS hash,
@@ -46,4 +103,9 @@ FROM n WINDOW g AS (PARTITION BY norm)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_source_mix": OP7, "op10_exact_dedup": OP10}
+    return {
+        "op4_jaccard_join": OP4,
+        "op6_quality_rules": OP6,
+        "op7_source_mix": OP7,
+        "op10_exact_dedup": OP10,
+    }

@@ -11,11 +11,22 @@ from roadpulse.llm import (
     exact_dedup,
     jaccard_join,
     license_scan,
+    quality_ranking,
     quality_rules,
     source_mix,
+    substring_dedup,
     token_counts,
+    toxicity,
 )
-from roadpulse.llm.common import documents
+from roadpulse.llm.common import documents, labels
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(documents(spark, sf_dir))
+
+
+def op2_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_ranking.quality_scores(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +38,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.clean_lines(documents(spark, sf_dir), carry=["doc_id"], with_text=False)
     return judged.select(
@@ -52,8 +67,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
+        op1_substring_dedup,
+        op2_quality_ranking,
         op3_best_fit_packing,
         op4_jaccard_join,
+        op5_toxicity,
         op6_quality_rules,
         op7_source_mix,
         op8_token_counts,
