@@ -8,13 +8,21 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from roadpulse.plans.reports import REPORTS
 from roadpulse.sources.csv_ingest import convert_csv
+from roadpulse.sources.shared_dir import remove_path
 from roadpulse.sources.tables import read_incidents
 
 
+def print_rows(df: DataFrame) -> None:
+    """Every row, tab-separated under the column names, a partition at a time."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("NULL" if v is None else str(v) for v in row))
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="roadpulse")
     parser.add_argument("task", choices=["convert", *REPORTS])
@@ -26,9 +34,10 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("roadpulse").getOrCreate()
     if args.task == "convert":
         converted = convert_csv(spark, args.path, args.out, infer=True)
-        converted.rejects.groupBy("reject_reason").count().show(truncate=False)
+        print_rows(converted.rejects.groupBy("reject_reason").count())
+        remove_path(spark, converted.staged)
     else:
-        REPORTS[args.task](read_incidents(spark, args.path)).show(truncate=False)
+        print_rows(REPORTS[args.task](read_incidents(spark, args.path)))
 
 
 if __name__ == "__main__":

@@ -8,8 +8,9 @@ from typing import NamedTuple
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.operators.profile import SAMPLE_ROWS
@@ -21,9 +22,6 @@ CATEGORICAL = ("sunrise_sunset", "state")
 MAX_BINS = 60
 TRAIN_SHARE = 0.8
 
-# Categories of a column are held by the driver and widen the feature vector.
-MAX_CATEGORIES = 10_000
-
 
 class Trained(NamedTuple):
     model: PipelineModel
@@ -50,13 +48,14 @@ def in_train(key: str | Column, share: float = TRAIN_SHARE) -> Column:
     """Whether a row belongs to the training part, by a hash of its key.
 
     The first 16 bits of the MD5 are compared with the share, so the answer
-    depends on the key alone: not on partitioning, not on a retry.
+    depends on the key alone: not on partitioning, not on a retry. A row without
+    a key is never in the training part, and so in the other one.
     """
     key = F.col(key) if isinstance(key, str) else key
     bound = round(share * 0x10000)
     if bound > 0xFFFF:
         return key.isNotNull()
-    return F.substring(F.md5(key.cast("string")), 1, 4) < format(bound, "04x")
+    return F.coalesce(F.substring(F.md5(key.cast("string")), 1, 4) < format(bound, "04x"), F.lit(False))
 
 
 def split(features: DataFrame, key: str = "event_id", share: float = TRAIN_SHARE) -> tuple[DataFrame, DataFrame]:
@@ -87,30 +86,15 @@ def indexer(categorical: Sequence[str] = CATEGORICAL, unseen: str = "keep") -> S
 
 
 def category_index(features: DataFrame, categorical: Sequence[str] = CATEGORICAL) -> DataFrame:
-    """Index given to every category of every column (fits the indexer)."""
-    require_few_categories(features, categorical)
-    indexed = indexer(categorical).fit(features).transform(features)
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.col(c).alias("category"),
-                F.col(f"{c}_index").cast("long").alias("category_index"),
-            )
-            for c in categorical
-        ]
-    )
-    return indexed.select(F.inline(pairs)).distinct()
-
+    """The index that fitting gives to every category of every column.
 
-def require_few_categories(
-    features: DataFrame, categorical: Sequence[str] = CATEGORICAL, limit: int = MAX_CATEGORIES
-) -> None:
-    """Refuse a column with too many categories before the driver has to hold them."""
-    counts = features.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
-    wide = [c for c in categorical if counts[c] > limit]
-    if wide:
-        raise ValueError(f"more than {limit} categories in {', '.join(wide)}")
+    One aggregation: the rows are counted per column and category on the map
+    side, and only the distinct categories are ordered.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("category")) for c in categorical])
+    counts = features.select(F.inline(pairs)).groupBy("feature", "category").agg(F.count("*").alias("n"))
+    by_frequency = Window.partitionBy("feature").orderBy(F.desc("n"), "category")
+    return counts.select("feature", "category", (F.row_number().over(by_frequency) - 1).cast("long").alias("category_index"))
 
 
 def build_pipeline(
@@ -149,7 +133,6 @@ def train_and_predict(
     train, test = split(features, key, share)
     kept = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        require_few_categories(kept, categorical)
         model = (pipeline or build_pipeline(categorical=categorical)).fit(kept)
     finally:
         kept.unpersist()
@@ -163,6 +146,43 @@ def prediction_sample(
     return predictions.orderBy(key).limit(n).select(severity, "prediction", "features")
 
 
+def assembled_rows(
+    features: DataFrame,
+    key: str = "event_id",
+    numeric: Sequence[str] = NUMERIC,
+    categorical: Sequence[str] = CATEGORICAL,
+) -> DataFrame:
+    """Key, label and the assembled feature vector as an array (fits the indexers)."""
+    stages = build_pipeline(numeric, categorical).getStages()[:-1]
+    rows = Pipeline(stages=stages).fit(features).transform(features)
+    return rows.select(key, "label", vector_to_array("features").alias("features"))
+
+
+def tree_checks(features: DataFrame, trained: Trained, key: str = "event_id") -> DataFrame:
+    """One row of what has to hold for a trained tree, whatever its splits.
+
+    Every test row is scored once, predictions are classes of the training
+    labels, and the tree beats always guessing the most frequent class.
+    """
+    _, test = split(features, key)
+    classes = trained.model.stages[-1].numClasses
+    scored = trained.predictions.agg(
+        F.count("*").alias("scored"),
+        F.count_distinct(key).alias("keys"),
+        F.min("prediction").alias("least"),
+        F.max("prediction").alias("most"),
+        F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"),
+    )
+    guess = test.groupBy("label").count().agg((F.max("count") / F.sum("count")).alias("hits"), F.sum("count").alias("rows")).first()
+    return scored.select(
+        F.lit(guess["rows"]).alias("tested"),
+        "scored",
+        (F.col("keys") == F.col("scored")).alias("once"),
+        ((F.col("least") >= 0) & (F.col("most") < classes)).alias("known_classes"),
+        (F.col("accuracy") > F.lit(guess["hits"])).alias("beats_guessing"),
+    )
+
+
 def threshold_prediction(features: DataFrame, column: str = "temperature_f") -> DataFrame:
     """A fixed rule in place of the tree, whose results SQL can repeat."""
     c = F.col(column)

@@ -248,6 +248,36 @@ SELECT '{column}' AS feature, {column} AS category,
 FROM features GROUP BY {column}"""
 
 
+_INFERRED = """
+SELECT event_id, user_id, event_type, CASE WHEN event_id % 103 = 0 THEN 'oops'
+         WHEN event_id % 109 <> 0 THEN CAST(value AS VARCHAR) END AS value, props
+FROM events WHERE event_id % 101 <> 0 AND event_id % 107 <> 0"""
+
+_KEYLESS = f"""{_with(_INCIDENTS, _FEATURES)},
+parts AS (
+  SELECT label, CASE WHEN event_id % 7 <> 0 AND part = 'train' THEN 'train' ELSE 'test' END AS part FROM features)
+SELECT part, label, COUNT(*) AS n FROM parts GROUP BY ALL
+UNION ALL SELECT part || ' rows', label, COUNT(*) FROM parts GROUP BY ALL"""
+
+
+def _one_hot(column: str) -> str:
+    return f"""
+{column}_index AS (
+  SELECT {column}, row_number() OVER (ORDER BY COUNT(*) DESC, {column}) - 1 AS {column}_at, COUNT(*) OVER () AS {column}_n
+  FROM features GROUP BY {column})"""
+
+
+def _hot(column: str) -> str:
+    return f"list_transform(range({column}_n), lambda i: CASE WHEN i = {column}_at THEN '1.000000' ELSE '0.000000' END)"
+
+
+_ASSEMBLED = f"""{_with(_INCIDENTS, _FEATURES, _one_hot("sunrise_sunset"), _one_hot("state"))}
+SELECT event_id, label, array_to_string(list_concat(list_concat(
+         list_transform([start_lat, start_lng, temperature_f, humidity_pct, visibility_mi], lambda x: printf('%.6f', {_six("x")})),
+         {_hot("sunrise_sunset")}), {_hot("state")}), ' ') AS features
+FROM features JOIN sunrise_sunset_index USING (sunrise_sunset) JOIN state_index USING (state)"""
+
+
 def oracle_sql() -> dict[str, str]:
     incidents = _with(_INCIDENTS)
     features = _with(_INCIDENTS, _FEATURES)
@@ -257,6 +287,11 @@ def oracle_sql() -> dict[str, str]:
         "ingest_typed": _CLEAN,
         "ingest_rejects": _REJECTS,
         "ingest_csv_files": _CLEAN,
+        "ingest_inferred": _INFERRED,
+        "convert_roundtrip": _CLEAN,
+        "layout_order_check": f"{incidents}\nSELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS rows_out_of_order,"
+        " CAST(0 AS BIGINT) AS files_overlapping, COUNT(*) FILTER (WHERE state IS NULL) AS null_first,"
+        " TRUE AS several_files FROM incidents",
         "clustered_roundtrip": f"{incidents}\nSELECT * FROM incidents",
         "layout_zone_totals": f"{incidents}\nSELECT COUNT(*) AS rows, "
         + ", ".join(
@@ -297,6 +332,9 @@ def oracle_sql() -> dict[str, str]:
         "sigma_anomalies_count": f"{_with(_INCIDENTS, _daily(), _HISTORY)}\nSELECT COUNT(*) AS anomalies"
         " FROM daily JOIN history USING (state) WHERE day_incidents > hist_mean + 3 * hist_std",
         "order_spike_days": _ORDER_SPIKES,
+        "order_spike_top5": f"{_ORDER_SPIKES}\nORDER BY day_orders DESC, nation, day LIMIT 5",
+        "daily_by_prefix_of_text": f"{incidents}\nSELECT {_PREFIX} AS day, COUNT(*) AS incidents FROM incidents"
+        " WHERE start_time IS NOT NULL AND state IS NOT NULL GROUP BY 1",
         "clearance_by_light_daytype": _clearance("sunrise_sunset"),
         "clearance_unparsed_as_weekday": _clearance("sunrise_sunset", "weekday"),
         "clearance_by_twilight": _clearance("sunrise_sunset, astronomical_twilight"),
@@ -304,6 +342,10 @@ def oracle_sql() -> dict[str, str]:
         "ml_label_counts": f"{features}\nSELECT label, COUNT(*) AS n FROM features GROUP BY label",
         "ml_category_index": f"{features}{_category('sunrise_sunset')}\nUNION ALL {_category('state')}",
         "ml_split_counts": f"{features}\nSELECT part, label, COUNT(*) AS n FROM features GROUP BY ALL",
+        "ml_split_counts_null_keys": _KEYLESS,
+        "ml_assembled_rows": _ASSEMBLED,
+        "ml_tree_checks": f"{features}\nSELECT COUNT(*) AS tested, COUNT(*) AS scored, TRUE AS once,"
+        " TRUE AS known_classes, TRUE AS beats_guessing FROM features WHERE part = 'test'",
         "ml_test_rows": f"{features}\nSELECT event_id, severity, label FROM features WHERE part = 'test'",
         "ml_confusion": f"{_with(_INCIDENTS, _FEATURES, _CONFUSION)}\nSELECT * FROM confusion",
         "ml_metrics": _METRICS,

@@ -17,6 +17,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Radius of the selective search, and of influence around a hotspot (km).
 NEAR_KM = 5.0
 INFLUENCE_KM = 2.0
+# Files of the registered clustered tables.
+CLUSTER_FILES = 8
 # The state of the one-state hotspot report.
 BUSY_STATE = "S7"
 
@@ -61,11 +63,10 @@ def ingest_rejects(spark, sf_dir):
     return _ingested(spark, sf_dir).rejects
 
 
-@_query
-def ingest_csv_files(spark, sf_dir):
+def _event_files(spark: SparkSession, sf_dir: str) -> str:
+    """The events as CSV files, as such files are: a header in every one of them."""
     path = shared_dir.scratch_path(spark, "events-csv")
     header = ",".join(tables.EVENT_CSV_COLUMNS)
-    # As CSV files are: a header in every one of them.
     (
         tables.event_csv_lines(spark, sf_dir)
         .withColumnRenamed("value", header)
@@ -74,12 +75,33 @@ def ingest_csv_files(spark, sf_dir):
         .option("sep", "\u0001")
         .csv(path)
     )
-    return csv_ingest.ingest_csv(spark, path, tables.EVENT_CSV_TYPES).clean
+    return path
+
+
+@_query
+def ingest_csv_files(spark, sf_dir):
+    return csv_ingest.ingest_csv(spark, _event_files(spark, sf_dir), tables.EVENT_CSV_TYPES).clean
+
+
+@_query
+def ingest_inferred(spark, sf_dir):
+    # "oops" among its numbers keeps the undeclared column "value" text.
+    return csv_ingest.ingest_csv(spark, _event_files(spark, sf_dir), {}, infer=True).clean
+
+
+@_query
+def convert_roundtrip(spark, sf_dir):
+    out = shared_dir.scratch_path(spark, "converted")
+    converted = csv_ingest.convert_csv(
+        spark, _event_files(spark, sf_dir), out, ("user_id", "event_id"), {"value": "double"}, infer=True, partitions=CLUSTER_FILES
+    )
+    shared_dir.remove_path(spark, converted.staged)
+    return layout.read_clustered(spark, converted.table)
 
 
 def _clustered(spark: SparkSession, sf_dir: str) -> layout.ClusteredTable:
     path = shared_dir.scratch_path(spark, "clustered")
-    return layout.write_clustered(tables.incidents(spark, sf_dir), path, spread_by=["event_id"])
+    return layout.write_clustered(tables.incidents(spark, sf_dir), path, partitions=CLUSTER_FILES, spread_by=["event_id"])
 
 
 @_query
@@ -103,6 +125,12 @@ def layout_zone_totals(spark, sf_dir):
     return zones.agg(F.sum("rows").alias("rows"), *bounds)
 
 
+@_query
+def layout_order_check(spark, sf_dir):
+    found = layout.order_check(spark, _clustered(spark, sf_dir))
+    return found.select("rows", "rows_out_of_order", "files_overlapping", "null_first", (F.col("files") > 1).alias("several_files"))
+
+
 # --- first look -------------------------------------------------------------
 
 
@@ -281,10 +309,26 @@ def sigma_anomalies_count(spark, sf_dir):
     return anomaly.anomaly_count(_anomalies(spark, sf_dir))
 
 
+def _order_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anomaly.sigma_anomalies(tables.daily_orders(spark, sf_dir), "nation", "day_orders")
+
+
+@_query
+def order_spike_top5(spark, sf_dir):
+    # Far more days than five, and many with as many orders.
+    return _rounded(anomaly.top_days(_order_spikes(spark, sf_dir), entity="nation", metric="day_orders"), *_HISTORY)
+
+
+@_query
+def daily_by_prefix_of_text(spark, sf_dir):
+    # Times that do not parse make days of their own by prefix, and none when parsed.
+    daily = anomaly.daily_rollup(tables.incidents(spark, sf_dir), day_from="prefix")
+    return daily.groupBy("day").agg(F.sum("day_incidents").alias("incidents"))
+
+
 @_query
 def order_spike_days(spark, sf_dir):
-    found = anomaly.sigma_anomalies(tables.daily_orders(spark, sf_dir), "nation", "day_orders")
-    return _rounded(found, *_HISTORY)
+    return _rounded(_order_spikes(spark, sf_dir), *_HISTORY)
 
 
 # --- clearance --------------------------------------------------------------
@@ -334,6 +378,16 @@ def ml_split_counts(spark, sf_dir):
     return model.split_counts(_features(spark, sf_dir))
 
 
+@_query
+def ml_split_counts_null_keys(spark, sf_dir):
+    key = F.expr("CASE WHEN event_id % 7 <> 0 THEN event_id END")
+    rows = _features(spark, sf_dir).withColumn("key", key)
+    train, test = model.split(rows, "key")
+    counts = model.split_counts(rows, "key")
+    split = train.select(F.lit("train rows").alias("part"), "label").unionAll(test.select(F.lit("test rows").alias("part"), "label"))
+    return counts.unionByName(split.groupBy("part", "label").agg(F.count("*").alias("n")))
+
+
 @_query
 def ml_test_rows(spark, sf_dir):
     _, test = model.split(_features(spark, sf_dir))
@@ -354,6 +408,24 @@ def ml_metrics(spark, sf_dir):
     return _rounded(model.quality(_rule_confusion(spark, sf_dir)), "accuracy", "weighted_f1")
 
 
+@_query
+def ml_assembled_rows(spark, sf_dir):
+    rows = model.assembled_rows(_features(spark, sf_dir))
+    return _rounded_list(rows, "features")
+
+
+@_query
+def ml_tree_checks(spark, sf_dir):
+    features = _features(spark, sf_dir)
+    return model.tree_checks(features, model.train_and_predict(features))
+
+
+def _rounded_list(df: DataFrame, name: str) -> DataFrame:
+    """An array of doubles as text of six places each."""
+    places = F.transform(name, lambda x: F.format_string("%.6f", F.round(F.round(x, 10), 6)))
+    return df.withColumn(name, F.array_join(places, " "))
+
+
 def _tree_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.train_and_predict(_features(spark, sf_dir)).predictions
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.sources.layout import CLUSTER_KEYS, ClusteredTable, cluster_parquet
-from roadpulse.sources.shared_dir import scratch_path
+from roadpulse.sources.shared_dir import remove_path, scratch_path
 
 # Declared column types. Times stay text, as their formats vary;
 # a column that is not named here is text as well, unless types are inferred.
@@ -66,6 +66,7 @@ class Ingested(NamedTuple):
 class Converted(NamedTuple):
     table: ClusteredTable
     rejects: DataFrame
+    staged: str
 
 
 def snake_case(name: str) -> str:
@@ -184,28 +185,60 @@ def ingest_lines(
     )
 
 
-def _header_and_lines(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
+def _lines_by_header(spark: SparkSession, path: str) -> list[tuple[list[str], DataFrame]]:
+    """Header and data lines, once for every different header among the files.
+
+    A header is the first line of a file that is not empty; an equal line further
+    down is data. With one file it costs a look at its beginning, with several a
+    pass over the text that parses nothing. The driver holds one line per file,
+    as it holds the list of files.
+    """
     value = F.col("value")
     text = spark.read.text(path).select(
-        F.when(value.startswith(_BOM), F.substr(value, F.lit(2))).otherwise(value).alias("value")
+        F.when(value.startswith(_BOM), F.substr(value, F.lit(2))).otherwise(value).alias("value"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.monotonically_increasing_id().alias("_at"),
+        F.input_file_block_start().alias("_block"),
     )
-    first = text.filter(value != "").first()
-    if first is None:
+    lines = text.filter(value != "")
+    if len(spark.read.text(path).inputFiles()) == 1:
+        first = lines.select("value", "_at", "_file").first()
+        heads = [first] if first else []
+    else:
+        in_file = F.struct("_block", "_at", "value")
+        heads = lines.groupBy("_file").agg(F.min(in_file).alias("first")).select("_file", "first.value", "first._at").collect()
+    if not heads:
         raise ValueError(f"no header line in {path}")
-    header = first["value"]
-    # Every file repeats the header, wherever its splits begin.
-    return next(csv.reader([header])), text.filter((value != "") & (value != header))
-
-
-def _typed_csv(
-    spark: SparkSession, path: str, types: Mapping[str, str], infer: bool, rename: bool
-) -> DataFrame:
-    columns, lines = _header_and_lines(spark, path)
-    split = split_lines(lines, columns)
+    data = lines.join(F.broadcast(spark.createDataFrame([(h["_file"], h["_at"]) for h in heads], "_file string, _head long")), "_file")
+    data = data.filter(F.col("_at") != F.col("_head"))
+    by_header: dict[str, list[str]] = {}
+    for h in sorted(heads, key=lambda h: h["_file"]):
+        by_header.setdefault(h["value"], []).append(h["_file"])
+    if len(by_header) == 1:
+        return [(next(csv.reader([header])), data.select("value")) for header in by_header]
+    return [
+        (next(csv.reader([header])), data.filter(F.col("_file").isin(files)).select("value")) for header, files in by_header.items()
+    ]
+
+
+def _split_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Text columns of all files, matched by name where headers differ in their order."""
+    parts = _lines_by_header(spark, path)
+    columns = parts[0][0]
+    for other, _ in parts[1:]:
+        if sorted(other) != sorted(columns):
+            raise ValueError(f"files in {path} differ in their columns: {columns} and {other}")
+    names = [_LINE, _CORRUPT, *columns]
+    splits = [split_lines(lines, header).select(*[F.col(f"`{c}`") for c in names]) for header, lines in parts]
+    return functools.reduce(DataFrame.unionAll, splits)
+
+
+def _typed(split: DataFrame, types: Mapping[str, str], infer: bool, rename: bool) -> DataFrame:
     if infer:
         types = {**infer_types(split, types), **types}
     typed = apply_types(split, types)
-    return typed.withColumnsRenamed({c: snake_case(c) for c in columns}) if rename else typed
+    names = [c for c in split.columns if c not in (_LINE, _CORRUPT)]
+    return typed.withColumnsRenamed({c: snake_case(c) for c in names}) if rename else typed
 
 
 def ingest_csv(
@@ -218,10 +251,10 @@ def ingest_csv(
     """Typed rows and rejected lines of CSV file(s) with a header.
 
     Only the header is read at once; ``infer=True`` also runs one pass to type
-    the undeclared columns. Files split between tasks at line ends, and several
-    files have to share one header.
+    the undeclared columns. Files split between tasks at line ends. Several files
+    have to share their columns, if in different orders; others are refused.
     """
-    return split_clean_and_rejects(_typed_csv(spark, path, types, infer, rename))
+    return split_clean_and_rejects(_typed(_split_csv(spark, path), types, infer, rename))
 
 
 def convert_csv(
@@ -235,15 +268,24 @@ def convert_csv(
 ) -> Converted:
     """CSV to a clustered Parquet table at ``out``; returns it with the rejects.
 
-    The text is parsed once (and once before, with ``infer``), into Parquet in
-    the shared scratch folder. The sampling and the sort of the clustering then
-    read that copy, and the rejects are a filter on one of its columns.
+    The text is parsed once, into Parquet text columns in the shared scratch
+    folder, also with ``infer``: typing, the sampling and the sort of the
+    clustering read that copy, and the rejects are a filter on it. The folder is
+    ``staged``; ``shared_dir.remove_path`` deletes it once the rejects are read.
+    A table with none of the ``keys`` is written as it comes.
     """
-    staged = scratch_path(spark, "csv-staged")
-    _typed_csv(spark, path, types, infer, rename=True).write.option("compression", "zstd").parquet(staged)
+    split_path, staged = scratch_path(spark, "csv-split"), scratch_path(spark, "csv-staged")
+    split = _split_csv(spark, path)
+    if infer:
+        # Read by inference and again by typing.
+        split.write.option("compression", "zstd").parquet(split_path)
+        split = spark.read.schema(split.schema).parquet(split_path)
+    _typed(split, types, infer, rename=True).write.option("compression", "zstd").parquet(staged)
+    if infer:
+        remove_path(spark, split_path)
     stage = spark.read.parquet(staged)
     keys = [k for k in keys if k in stage.columns]
     table = cluster_parquet(
         spark, staged, out, keys, where=F.col(_REASON).isNull(), drop=(_LINE, _REASON), **layout
     )
-    return Converted(table, split_clean_and_rejects(stage).rejects)
+    return Converted(table, split_clean_and_rejects(stage).rejects, staged)

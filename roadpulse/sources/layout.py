@@ -6,9 +6,11 @@ import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 
+from roadpulse.sources.shared_dir import remove_path, scratch_path
+
 # Clustering keys and rows per row group.
 CLUSTER_KEYS = ("state", "start_lat", "start_lng", "street")
 ROWS_PER_GROUP = 100_000
@@ -39,25 +41,38 @@ def write_clustered(
     so that a key with a third of the table covers many files and not one. It
     must depend on the row alone (a retried task has to send it to the same
     place): by default a hash of the whole row; give a unique column where
-    identical rows may be many. Without ``partitions``, their number follows
-    from the row count.
+    identical rows may be many. Without ``partitions`` the rows are written to
+    the scratch folder first, so that counting, sampling and sorting read that
+    copy and not ``df`` three times; the copy is removed. Without ``keys`` rows
+    are written as they come.
     """
-    if partitions is None:
-        partitions = max(1, math.ceil(df.count() / rows_per_file))
+    keys = tuple(keys)
+    if partitions is None and keys:
+        staged = scratch_path(df.sparkSession, "to-cluster")
+        df.write.parquet(staged)
+        try:
+            rows = df.sparkSession.read.schema(df.schema).parquet(staged)
+            number = max(1, math.ceil(rows.count() / rows_per_file))
+            return write_clustered(rows, path, keys, number, rows_per_group, rows_per_file, spread_by)
+        finally:
+            remove_path(df.sparkSession, staged)
+    if not keys:
+        _writer(df, rows_per_group, rows_per_file).parquet(path)
+        return ClusteredTable(path, keys)
     spread = F.xxhash64(*([F.col(f"`{c}`") for c in df.columns] if spread_by is None else spread_by))
     by_key = [F.col(k).asc_nulls_first() for k in keys]
-    (
-        df.withColumn(_SPREAD, spread)
-        .repartitionByRange(partitions, *by_key, _SPREAD)
-        .sortWithinPartitions(*by_key)
-        .drop(_SPREAD)
-        .write.option("compression", "zstd")
+    ordered = df.withColumn(_SPREAD, spread).repartitionByRange(partitions, *by_key, _SPREAD).sortWithinPartitions(*by_key)
+    _writer(ordered.drop(_SPREAD), rows_per_group, rows_per_file).parquet(path)
+    return ClusteredTable(path, keys)
+
+
+def _writer(df: DataFrame, rows_per_group: int, rows_per_file: int) -> DataFrameWriter:
+    return (
+        df.write.option("compression", "zstd")
         .option("parquet.enable.dictionary", "true")
         .option("parquet.block.row.count.limit", str(rows_per_group))
         .option("maxRecordsPerFile", str(2 * rows_per_file))
-        .parquet(path)
     )
-    return ClusteredTable(path, tuple(keys))
 
 
 def cluster_parquet(
@@ -67,20 +82,27 @@ def cluster_parquet(
     keys: Sequence[str] = CLUSTER_KEYS,
     where: Column | None = None,
     drop: Sequence[str] = (),
+    partitions: int | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
     **options,
 ) -> ClusteredTable:
     """Rewrite a Parquet table clustered on ``keys``.
 
     Ties are spread by the place of the row in the source files, which is unique
-    and the same on every retry, so even identical copies are spread.
+    and the same on every retry, so even identical copies are spread. The number
+    of files follows from the footers of the source.
     """
     rows = spark.read.parquet(source)
+    if partitions is None:
+        partitions = max(1, math.ceil(rows.count() / rows_per_file))
     if where is not None:
         rows = rows.filter(where)
     return write_clustered(
         rows.drop(*drop),
         path,
         keys,
+        partitions,
+        rows_per_file=rows_per_file,
         spread_by=("_metadata.file_path", "_metadata.row_index"),
         **options,
     )
@@ -100,3 +122,39 @@ def zone_map(spark: SparkSession, table: ClusteredTable) -> DataFrame:
         .groupBy(F.col("_metadata.file_name").alias("file_name"))
         .agg(F.count("*").alias("rows"), *bounds)
     )
+
+
+def order_check(spark: SparkSession, table: ClusteredTable) -> DataFrame:
+    """One row that says whether a table lies as ``write_clustered`` writes it.
+
+    ``files`` and ``rows``; ``rows_out_of_order`` inside files; ``files_overlapping``,
+    whose first key lies before the last key of the file before; ``null_first``,
+    the rows whose first key is null. Reads the table and writes nothing.
+    """
+    key = F.struct(*[F.struct(F.col(k).isNotNull().alias("set"), F.col(k).alias("value")).alias(f"k{i}") for i, k in enumerate(table.keys)])
+    rows = spark.read.parquet(table.path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("at"),
+        key.alias("key"),
+        F.col(table.keys[0]).isNull().alias("no_first"),
+    )
+    in_file = Window.partitionBy("file").orderBy("at")
+    files = (
+        rows.withColumn("falls", F.lag("key").over(in_file) > F.col("key"))
+        .groupBy("file")
+        .agg(
+            F.count("*").alias("rows"),
+            F.count_if("falls").alias("out_of_order"),
+            F.count_if("no_first").alias("null_first"),
+            F.min("key").alias("first"),
+            F.max("key").alias("last"),
+        )
+        .withColumn("overlaps", F.lag("last").over(Window.orderBy("first", "last")) > F.col("first"))
+    )
+    return files.agg(
+        F.count("*").alias("files"),
+        F.sum("rows").alias("rows"),
+        F.sum("out_of_order").alias("rows_out_of_order"),
+        F.count_if("overlaps").alias("files_overlapping"),
+        F.sum("null_first").alias("null_first"),
+    )

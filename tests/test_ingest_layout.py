@@ -190,6 +190,44 @@ def test_convert_csv(spark, tmp_path):
     assert all(last <= first for (_, last), (first, _) in zip(bounds, bounds[1:]))
 
 
+def test_files_with_columns_in_another_order(spark, tmp_path):
+    path = _csv(tmp_path, "a.csv", "Start_Lat,Start_Lng,Street", "1,2,a", "Start_Lat,Start_Lng,Street", "3,4,b")
+    _csv(tmp_path, "b.csv", "", "Street,Start_Lng,Start_Lat", "c,20,10")
+    clean, rejects = csv_ingest.ingest_csv(spark, path)
+    assert sorted(map(tuple, clean.collect())) == [(1.0, 2.0, "a"), (3.0, 4.0, "b"), (10.0, 20.0, "c")]
+    # Further down, a line equal to the header is a line like others.
+    assert [tuple(r) for r in rejects.collect()] == [("Start_Lat,Start_Lng,Street", "bad_value:Start_Lat,Start_Lng")]
+
+
+def test_files_with_other_columns_are_refused(spark, tmp_path):
+    path = _csv(tmp_path, "a.csv", "a,b", "1,2")
+    _csv(tmp_path, "b.csv", "a,c", "1,2")
+    with pytest.raises(ValueError, match="differ in their columns"):
+        csv_ingest.ingest_csv(spark, path)
+
+
+def test_a_table_without_keys_is_converted(spark, tmp_path):
+    path = _csv(tmp_path, "a.csv", "a,b", "1,x", "2,y", "3")
+    converted = csv_ingest.convert_csv(spark, path, str(tmp_path / "out"), infer=True)
+    assert converted.table.keys == ()
+    table = layout.read_clustered(spark, converted.table)
+    assert dict(table.dtypes) == {"a": "bigint", "b": "string"}
+    assert sorted(map(tuple, table.collect())) == [(1, "x"), (2, "y")]
+    assert converted.rejects.count() == 1
+    shared_dir.remove_path(spark, converted.staged)
+    assert not os.path.exists(converted.staged.removeprefix("file:"))
+
+
+def test_order_check_sees_disorder(spark, small, tmp_path):
+    df = tables.incidents(spark, small)
+    good = layout.write_clustered(df, str(tmp_path / "good"), partitions=4)
+    row = layout.order_check(spark, good).first()
+    assert (row["rows"], row["rows_out_of_order"], row["files_overlapping"]) == (10_000, 0, 0)
+    df.repartition(4, "event_id").write.parquet(str(tmp_path / "bad"))
+    row = layout.order_check(spark, layout.ClusteredTable(str(tmp_path / "bad"), layout.CLUSTER_KEYS)).first()
+    assert row["rows_out_of_order"] > 1000 and row["files_overlapping"] == 3
+
+
 def test_incident_table_with_original_names(spark, tmp_path):
     df = spark.createDataFrame([(1, 2.0)], "`Severity` long, `Humidity(%)` double")
     df.write.parquet(str(tmp_path / "t"))

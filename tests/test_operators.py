@@ -84,6 +84,13 @@ def test_radius_hotspots_with_a_world_wide_radius(spark, km):
     assert {(r["lat_cell"], r["lng_cell"]): r["incidents"] for r in cells} == want
 
 
+def test_off_range_rows_are_left_out_and_can_be_seen(spark):
+    df = spark.createDataFrame([(10.0, 20.0), (95.0, 20.0), (10.0, -190.0), (None, 1.0)], "start_lat double, start_lng double")
+    assert [tuple(r) for r in hotspots.cells_within_radius(df).collect()] == [(10.0, 20.0, 1)]
+    assert sorted(tuple(r) for r in df.filter(hotspots.off_range()).collect()) == [(10.0, -190.0), (95.0, 20.0)]
+    assert hotspots.grid_cells(df).count() == 3
+
+
 def test_radius_hotspots_over_a_pole(spark):
     df = spark.createDataFrame([(89.995, 10.0), (89.995, -170.0), (None, 1.0)], "start_lat double, start_lng double")
     cells = hotspots.cells_within_radius(df, 2.0, decimals=1).collect()

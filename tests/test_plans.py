@@ -26,7 +26,6 @@ def test_radius_box_reaches_the_scan(stored):
     pushed = plan[plan.index("PushedFilters") : plan.index("ReadSchema")]
     for bound in ("GreaterThanOrEqual(start_lat", "LessThanOrEqual(start_lat", "GreaterThanOrEqual(start_lng"):
         assert bound in pushed
-    print(pushed)
     assert "ReadSchema: struct<event_id:bigint,start_lat:double,start_lng:double>" in plan
     assert "Exchange" not in plan
 
@@ -72,7 +71,7 @@ def test_join_form_reads_the_source_once(spark, small):
 
 def test_no_cross_joins_or_python(spark, tiny):
     for name, query in queries.registered().items():
-        if name in ("ml_train_predict", "ml_tree_metrics", "ml_prediction_sample"):
+        if name in ("ml_train_predict", "ml_tree_metrics", "ml_prediction_sample", "ml_tree_checks"):
             continue  # scoring is MLlib's own function
         plan = _plan(query(spark, tiny))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
@@ -83,3 +82,14 @@ def test_training_leaves_nothing_cached(spark, tiny):
     before = len(spark.sparkContext._jsc.getPersistentRDDs())
     model.train_and_predict(model.feature_frame(tables.incidents(spark, tiny)))
     assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
+
+
+def test_category_index_scans_once(stored):
+    plan = _plan(model.category_index(model.feature_frame(stored)))
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_daily_orders_counts_after_the_join(spark, small):
+    plan = _plan(tables.daily_orders(spark, small))
+    assert plan.count("partial_count") == 1

@@ -74,5 +74,16 @@ def test_command_line(spark, csv_path, tmp_path, monkeypatch, capsys):
     main(["convert", csv_path, out])
     main(["routes", out])
     assert "I-5" in capsys.readouterr().out
+
+
+def test_command_line_prints_every_row(spark, tmp_path, capsys):
+    path = str(tmp_path / "wide")
+    spark.range(3).selectExpr("id", *[f"id + {i} AS column_{i}" for i in range(45)]).write.parquet(path)
+    main(["columns", path])
+    out = capsys.readouterr().out.splitlines()
+    assert len(out) == 47 and out[-1].split("\t")[1] == "column_44"
+
+
+def test_command_line_needs_an_output(csv_path):
     with pytest.raises(SystemExit):
         main(["convert", csv_path])

@@ -36,9 +36,25 @@ def test_category_order(spark):
     assert got == {"c": 0, "a": 1, "b": 2, "d": 3}
 
 
-def test_too_many_categories_are_refused(features):
-    with pytest.raises(ValueError, match="state"):
-        model.require_few_categories(features, limit=20)
+def test_category_index_is_that_of_the_indexer(features):
+    fitted = model.indexer().fit(features)
+    want = {(c, label): i for c, labels in zip(model.CATEGORICAL, fitted.labelsArray) for i, label in enumerate(labels)}
+    got = {(r["feature"], r["category"]): r["category_index"] for r in model.category_index(features).collect()}
+    assert got == want
+
+
+def test_many_categories(spark):
+    """No number of categories is refused, and none is left out."""
+    df = spark.range(12_000).selectExpr("CAST(id AS STRING) AS c")
+    assert model.category_index(df, ["c"]).agg(F.max("category_index")).first()[0] == 11_999
+
+
+def test_rows_without_a_key_are_tested(spark):
+    df = spark.createDataFrame([(i if i % 2 else None, 1) for i in range(200)], "k long, label long")
+    train, test = model.split(df, "k")
+    counts = {r["part"]: r["n"] for r in model.split_counts(df, "k").collect()}
+    assert counts == {"train": train.count(), "test": test.count()} and sum(counts.values()) == 200
+    assert train.filter("k IS NULL").isEmpty()
 
 
 def test_quality_equals_the_evaluator(features):
