@@ -144,27 +144,35 @@ def links_of(sets: DataFrame, percent: int) -> DataFrame:
     """Links between sets (``v``, ``n``, ``m``, ``shared`` in order of list length) that connect what is connected.
 
     Two sets that link are connected by the result, if perhaps through others.
+    ``room`` is what a set has left from its place in a list on, in the order of
+    all lists. The first list in which two linked sets meet leaves both of them
+    room for the overlap they need, so pairs are taken from such lists only; the
+    smaller of the two then has room for a partner of its own size.
     """
+    short = f"slice(shared, 1, CAST(m - ({percent} * n + 99) div 100 + 1 AS INT))"
     lists = written(
-        sets.select("v", "n", (F.col("m") / F.col("n")).alias("central"), F.explode(F.expr(f"slice(shared, 1, CAST(m - ({percent} * n + 99) div 100 + 1 AS INT))")).alias("h")),
+        sets.select("v", "n", "m", F.posexplode(F.expr(short)).alias("k", "h")).selectExpr(
+            "h", "v", "n", "m / n AS central", "m - k AS room"
+        ),
         "short-lists",
     )
-    fits = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    members = lists.select("h", F.col("v").alias("a"), F.col("n").alias("n_a"))
-    hubs = lists.groupBy("h").agg(F.max(F.struct("central", "n", "v")).alias("hub"), F.count("*").alias("df")).filter("df >= 2")
-    hubs = hubs.select("h", F.col("hub.v").alias("b"), F.col("hub.n").alias("n_b"))
-    to_hub = members.join(hubs, "h").filter(fits & (F.col("a") != F.col("b"))).select("a", "b").distinct()
+    meet = F.expr(f"{100 + percent} * least(room_a, room_b) >= {percent} * (n_a + n_b)")
+    members = lists.selectExpr("h", "v AS a", "n AS n_a", "room AS room_a")
+    hubs = lists.groupBy("h").agg(F.max(F.struct("central", "n", "v", "room")).alias("hub"), F.count("*").alias("df")).filter("df >= 2")
+    hubs = hubs.selectExpr("h", "hub.v AS b", "hub.n AS n_b", "hub.room AS room_b")
+    to_hub = members.join(hubs, "h").filter(meet & (F.col("a") != F.col("b"))).select("a", "b").distinct()
     links = written(linked(to_hub, sets, percent), "hub-links")
 
     labels = connected_components(links)
-    split = written(
-        lists.select("h", "v", "n").join(labels, "v", "left").withColumn("label", F.coalesce("label", "v")), "labelled-lists"
-    )
+    split = lists.drop("central").join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
+    split = written(split, "labelled-lists")
     several = split.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("h")
     split = written(split.join(several, "h"), "split-lists")
-    a = split.select("h", F.col("v").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"))
-    b = split.select("h", F.col("v").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-    across = a.join(b, "h").filter(fits & (F.col("label_a") < F.col("label_b"))).select("a", "b").distinct()
+    smaller = split.filter(f"{100 + percent} * room >= {2 * percent} * n")
+    smaller = smaller.selectExpr("h", "v AS a", "n AS n_a", "room AS room_a", "label AS label_a")
+    larger = split.selectExpr("h", "v AS b", "n AS n_b", "room AS room_b", "label AS label_b")
+    across = smaller.join(larger, "h").filter(meet & F.expr("n_a <= n_b AND label_a <> label_b"))
+    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return links.unionByName(linked(across, sets, percent))
 
 
