@@ -31,7 +31,8 @@ from roadpulse.sources.shared_dir import written
 CAPACITY = 2048
 END = 0
 
-_MOST_REMEMBERED = 600_000
+_MOST_REMEMBERED = 900_000
+_JOINED = 5_000
 _MOST_RANK = 1 << 40
 
 
@@ -40,6 +41,12 @@ class Vocabulary:
 
     def __init__(self, path: str | None):
         self.tokenizer = load_tokenizer(path)
+        special = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        vocabulary = self.tokenizer.get_vocab()
+        # A character of a token's name stands for one byte, but in special tokens.
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for name, i in vocabulary.items():
+            self.bytes[i] = special.get(i, len(name))
         self.clear()
 
     def clear(self) -> None:
@@ -50,24 +57,43 @@ class Vocabulary:
         self.used = 0
 
     def learn(self, texts: Iterable[list[str]]) -> None:
+        """Encode the pieces not met yet.
+
+        Pieces that begin with white space and do not end with it encode in one
+        text as they do alone, so they are joined: a call costs more than a piece.
+        """
         if len(self.index) > _MOST_REMEMBERED:
             self.clear()
-        new = list({p for text in texts for p in text if p not in self.index})
-        step = 20_000
-        for at in range(0, len(new), step):
-            part = new[at : at + step]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            first, total = len(self.index), int(lengths.sum())
-            while first + len(part) > len(self.starts):
-                self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
-            while self.used + total > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat))
-            self.lengths[first : first + len(part)] = lengths
-            self.starts[first : first + len(part)] = self.used + np.cumsum(lengths) - lengths
-            self.flat[self.used : self.used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
-            self.used += total
-            self.index.update(zip(part, range(first, first + len(part))))
+        joined, alone = [], []
+        for piece in {p for text in texts for p in text if p not in self.index}:
+            (joined if piece[0].isspace() and not piece[-1].isspace() else alone).append(piece)
+        for at in range(0, len(joined), _JOINED):
+            part = joined[at : at + _JOINED]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.cumsum([len(p.encode()) for p in part])
+            upto = np.cumsum(self.bytes[ids])
+            last = np.searchsorted(upto, ends)
+            if last[-1] == len(ids) - 1 and (upto[last] == ends).all():
+                self._add(part, ids, np.diff(last, prepend=-1))
+            else:
+                alone += part
+        for at in range(0, len(alone), _JOINED):
+            part = alone[at : at + _JOINED]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            self._add(part, np.fromiter((i for x in found for i in x), np.uint32, int(lengths.sum())), lengths)
+
+    def _add(self, part: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        first = len(self.index)
+        while first + len(part) > len(self.starts):
+            self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        self.lengths[first : first + len(part)] = lengths
+        self.starts[first : first + len(part)] = self.used + np.cumsum(lengths) - lengths
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.index.update(zip(part, range(first, first + len(part))))
 
     def ids(self, text: list[str], end: int) -> np.ndarray:
         """Ids of a text whose pieces are known, and ``end``."""
@@ -252,4 +278,6 @@ def pack_documents(
     rows are packed as often as they occur; null ids stay null; an empty table
     gives an empty result; other columns are not read.
     """
-    return best_fit(tokenised_pieces(docs, doc_id, text, path, capacity, end, with_ids), capacity)
+    found = tokenised_pieces(docs, doc_id, text, path, capacity, end, with_ids)
+    # Written first: to find its ranges, the sort reads its input twice.
+    return best_fit(written(found, "pieces"), capacity)
