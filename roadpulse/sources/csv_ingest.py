@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.sources.layout import CLUSTER_KEYS, ClusteredTable, cluster_parquet
-from roadpulse.sources.shared_dir import remove_path, scratch_path
+from roadpulse.sources.shared_dir import remove_path, scratch_path, written
 
 # Declared column types. Times stay text, as their formats vary;
 # a column that is not named here is text as well, unless types are inferred.
@@ -44,6 +44,8 @@ NULL_TOKENS = (
 # Types tried on undeclared columns, the narrowest first.
 INFERRED_TYPES = ("bigint", "double", "boolean", "date", "timestamp_ntz")
 
+INFERRED_AT_ONCE = 12
+
 # What a value has to look like besides passing the cast, which alone would take
 # "y" for true and the first part of a longer text.
 _SHAPES = {
@@ -88,13 +90,25 @@ def split_lines(lines: DataFrame, columns: Sequence[str], line: str = "value") -
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "escape": '"'},
     )
     fields = lines.select(F.col(line).alias(_LINE), parsed.alias("p"))
-    return fields.select(
-        _LINE,
+    return _evaluated(
+        fields,
+        F.col(_LINE),
         F.col(f"p.{_CORRUPT}").alias(_CORRUPT),
         *[_null_if_token(F.col(f"p.{s}")).alias(name) for s, name in zip(slots, columns)],
     )
 
 
+def _evaluated(df: DataFrame, *columns: Column) -> DataFrame:
+    """The columns, worked out here once, however often later steps mention them.
+
+    They are inlined and not merely selected: the optimizer puts the expression of
+    a selected column in place of every mention, and pushes filters below it,
+    but moves nothing past a generator. So each step's code grows with the number
+    of columns and not with that of mentions.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def _null_if_token(value: Column) -> Column:
     return F.when(~value.isin(*NULL_TOKENS), value)
 
@@ -118,12 +132,19 @@ def _cast(name: str, type_: str) -> Column:
 def infer_types(split: DataFrame, declared: Mapping[str, str] = DECLARED_TYPES) -> dict[str, str]:
     """Types for undeclared columns: the first that fits *all* their values.
 
-    One aggregation over the whole input (an action), so no late value can
-    contradict the result.
+    Aggregations over the whole input (an action for every ``INFERRED_AT_ONCE``
+    columns), so no late value can contradict the result. With more columns to
+    an aggregation its code outgrows what the JVM compiles; ``split`` should be
+    written down, so that each reads its own columns and none parses text.
     """
     names = [c for c in split.columns if c not in (_LINE, _CORRUPT) and c not in declared]
-    if not names:
-        return {}
+    found = {}
+    for at in range(0, len(names), INFERRED_AT_ONCE):
+        found |= _fitting_types(split, names[at : at + INFERRED_AT_ONCE])
+    return found
+
+
+def _fitting_types(split: DataFrame, names: Sequence[str]) -> dict[str, str]:
     tests = []
     for i, name in enumerate(names):
         tests.append(F.count(F.col(f"`{name}`")).alias(f"n{i}"))
@@ -152,13 +173,11 @@ def apply_types(split: DataFrame, types: Mapping[str, str]) -> DataFrame:
         any_misfit = functools.reduce(operator.or_, misfits.values())
         reason = reason.when(any_misfit, F.concat(F.lit("bad_value:"), columns))
     typed = split.select("*", *[_cast(c, types.get(c, "string")).alias(slots[c]) for c in names])
-    judged = typed.select(_LINE, reason.alias(_REASON), *[F.col(t).alias(c) for c, t in slots.items()])
-    # Inlined and not merely selected: a filter on the reason is not pushed below
-    # a generator, where it would parse the line and cast its fields once more
-    # for every mention.
+    judged = typed.withColumn(_REASON, reason)
+    # The final names are given in the struct. As aliases in one more projection
+    # they would double, one by one, what the optimizer derives from the casts.
     rejected_line = F.when(F.col(_REASON).isNotNull(), F.col(_LINE)).alias(_LINE)
-    row = F.struct(rejected_line, _REASON, *[F.col(f"`{c}`") for c in names])
-    return judged.select(F.inline(F.array(row)))
+    return _evaluated(judged, rejected_line, F.col(_REASON), *[F.col(t).alias(c) for c, t in slots.items()])
 
 
 def split_clean_and_rejects(typed: DataFrame) -> Ingested:
@@ -250,11 +269,14 @@ def ingest_csv(
 ) -> Ingested:
     """Typed rows and rejected lines of CSV file(s) with a header.
 
-    Only the header is read at once; ``infer=True`` also runs one pass to type
-    the undeclared columns. Files split between tasks at line ends. Several files
+    Only headers are read at once; ``infer=True`` also writes the split text to
+    the scratch folder, from which types are found and rows are read. Files split between tasks at line ends. Several files
     have to share their columns, if in different orders; others are refused.
     """
-    return split_clean_and_rejects(_typed(_split_csv(spark, path), types, infer, rename))
+    split = _split_csv(spark, path)
+    if infer:
+        split = written(split, "csv-split")
+    return split_clean_and_rejects(_typed(split, types, infer, rename))
 
 
 def convert_csv(
