@@ -34,7 +34,7 @@ WORDS = 4
 PERCENT = 85
 
 #: Percent of a set by which the first selection reads on, so that it can ask for more than one shared shingle.
-EXTRA_PERCENT = 4
+EXTRA_PERCENT = 8
 
 #: Rows of a table of keys up to which it is broadcast; beyond, it is joined by shuffle.
 MOST_BROADCAST_KEYS = 1_000_000
