@@ -12,7 +12,8 @@ from collections.abc import Iterable
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from roadpulse.llm.common import small_batches, utf8_texts
@@ -62,13 +63,18 @@ def cuts(text: bytes, one_in: int = ONE_IN, shortest: int = SHORTEST, longest: i
 
 
 def chunk_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Per document its id, and the digests, ends and sizes of its chunks."""
+    """Per document its id, the digests, ends and sizes of its chunks, and ``row``.
+
+    ``row`` is the place of its first chunk among all chunks; the next chunks have
+    the places after it, and one more is left free, so that rows without chunks differ.
+    """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        place = TaskContext.get().partitionId() << 40
         for batch in small_batches(batches, "_text", 4 << 20):
-            digests, ends, sizes = [], [], []
+            digests, ends, sizes, places = [], [], [], []
             for text in utf8_texts(batch.column(1)):
                 at = cuts(text)
                 start, found = 0, []
@@ -78,12 +84,14 @@ def chunk_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 digests.append(np.array(found, np.uint64).view(np.int64))
                 ends.append(at)
                 sizes.append(np.diff(at, prepend=0))
+                places.append(place)
+                place += len(at) + 1
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(digests, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int32())), pa.array(sizes, pa.list_(pa.int32()))],
-                names=["doc_id", "digests", "ends", "sizes"],
+                [batch.column(0), pa.array(digests, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int32())), pa.array(sizes, pa.list_(pa.int32())), pa.array(places, pa.int64())],
+                names=["doc_id", "digests", "ends", "sizes", "row"],
             )
 
-    return rows.mapInArrow(work, f"doc_id {id_type}, digests array<long>, ends array<int>, sizes array<int>")
+    return rows.mapInArrow(work, f"doc_id {id_type}, digests array<long>, ends array<int>, sizes array<int>, row long")
 
 
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", passage: int = PASSAGE) -> DataFrame:
@@ -91,39 +99,54 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     Columns: ``doc_id``, ``start`` and ``length`` in bytes of the UTF-8 text,
     ``n_chunks``, ``n_copies`` (rows that hold its most frequent chunk), ``is_first``
-    (no earlier row holds any chunk of it: the copy to keep). A passage is a run of
-    chunks that stand in two rows or more; runs under ``passage`` bytes are left
-    out. Equal rows are copies of each other. Null and empty texts have no chunks,
-    a null id is returned as it is, an empty table gives an empty result, and
-    other columns are not read.
+    (the copy to keep). A chunk is repeated if it stands in two rows or more; at the
+    first of all its places it is first, at the others later. A run of later chunks
+    of ``passage`` bytes or more is one passage that is not first. What is between
+    those, first chunks and shorter runs of later ones, is a passage that is first, if
+    it has ``passage`` bytes. So the first place of every chunk is kept, and no
+    later copy of a passage. Equal rows are copies of each other. Null and empty texts
+    have no chunks, a null id is returned as it is, an empty table gives an empty
+    result, and other columns are not read.
 
     A digest that many rows hold is counted on the map side first. It comes back
     to its chunks by a join whose skewed partitions Spark splits.
     """
-    rows = written(chunk_rows(docs, doc_id, text).withColumn("row", F.monotonically_increasing_id()), "chunks")
+    rows = written(chunk_rows(docs, doc_id, text), "chunks")
     chunks = rows.select("row", F.posexplode(F.arrays_zip("digests", "ends", "sizes")).alias("k", "chunk")).select(
         "row", "k", F.col("chunk.digests").alias("digest"), F.col("chunk.ends").alias("end"), F.expr("chunk.ends - chunk.sizes").alias("start")
     )
+    # The first place is in the last row, or after its beginning, if that row alone has the chunk.
     repeated = (
         chunks.groupBy("digest")
-        .agg(F.min("row").alias("first"), F.max("row").alias("last"), F.count("*").alias("n"))
+        .agg(F.min(F.col("row") + F.col("k")).alias("first"), F.max("row").alias("last"), F.count("*").alias("n"))
         .filter("first < last")
         .select("digest", "first", "n")
     )
-    in_text = Window.partitionBy("row").orderBy("k")
-    runs = (
+    chunk_before, part_before = Window.partitionBy("row").orderBy("k"), Window.partitionBy("row").orderBy("start")
+    parts = (
         chunks.join(repeated, "digest")
-        .withColumn("run", F.col("k") - F.row_number().over(in_text))
-        .groupBy("row", "run")
+        .withColumn("is_first", F.col("first") == F.col("row") + F.col("k"))
+        .withColumn("part", _numbered((F.col("k") != F.lag("k").over(chunk_before) + 1) | (F.col("is_first") != F.lag("is_first").over(chunk_before)), chunk_before))
+        .groupBy("row", "part", "is_first")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_chunks"), F.max("n").alias("n_copies"))
+    )
+    passages = (
+        parts.withColumn("is_first", F.col("is_first") | (F.col("end") - F.col("start") < passage))
+        .withColumn("span", _numbered((F.col("start") != F.lag("end").over(part_before)) | (F.col("is_first") != F.lag("is_first").over(part_before)), part_before))
+        .groupBy("row", "span", "is_first")
         .agg(
             F.min("start").alias("start"),
             (F.max("end") - F.min("start")).alias("length"),
-            F.count("*").alias("n_chunks"),
-            F.max("n").alias("n_copies"),
-            F.min("first").alias("earliest"),
+            F.sum("n_chunks").alias("n_chunks"),
+            F.max("n_copies").alias("n_copies"),
         )
         .filter(F.col("length") >= passage)
     )
-    return runs.join(rows.select("row", "doc_id"), "row").select(
-        "doc_id", F.col("start").cast("long").alias("start"), F.col("length").cast("long").alias("length"), "n_chunks", "n_copies", (F.col("earliest") == F.col("row")).alias("is_first")
+    return passages.join(rows.select("row", "doc_id"), "row").select(
+        "doc_id", F.col("start").cast("long").alias("start"), F.col("length").cast("long").alias("length"), "n_chunks", "n_copies", "is_first"
     )
+
+
+def _numbered(begins: Column, window: WindowSpec) -> Column:
+    """Number of the group that a row is in, where ``begins`` says that a group begins (null: the first)."""
+    return F.sum(F.coalesce(begins, F.lit(False)).cast("int")).over(window)

@@ -126,3 +126,30 @@ def test_unseen_spellings_share_what_was_learnt():
     assert sum(s >= 0.7 for s in unseen) >= 36
     assert sum(s < 0.7 for s in clean) >= 38
     assert score("") == 0.0 and score(None) == 0.0
+
+
+# Each passage is kept once
+
+
+def _dropped(text: bytes, spans) -> bytes:
+    """What is left of a text without its later parts."""
+    out, at = [], 0
+    for r in sorted(spans, key=lambda r: r["start"]):
+        if not r["is_first"]:
+            out.append(text[at : r["start"]])
+            at = r["start"] + r["length"]
+    return b"\n".join([*out, text[at:]])
+
+
+def test_every_passage_keeps_exactly_one_copy(spark):
+    """Passages of which an unrelated earlier text has a little, and such that stand beside an earlier one."""
+    passages = [prose(3000 + k, 120) for k in range(12)]
+    rows = [(k, f"{prose(k, 40)} {p[300:380]} {prose(50 + k, 40)}") for k, p in enumerate(passages)]
+    rows += [(100 + k, f"{prose(100 + k, 40)} {p} {prose(200 + k, 40)} {p}") for k, p in enumerate(2 * passages)]
+    beside = [prose(4000 + k, 120) for k in range(12)]
+    rows += [(200 + k, f"{passages[k % 12]} {b} {prose(300 + k, 40)}") for k, b in enumerate(2 * beside)]
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    left = b"\n".join(_dropped(t.encode(), [r for r in got if r["doc_id"] == i]) for i, t in rows)
+    for p in passages + beside:
+        assert left.count(p[120:-120].encode()) == 1
+        assert sum(r["is_first"] and p[120:-120].encode() in t.encode()[r["start"] : r["start"] + r["length"]] for r in got for i, t in rows if i == r["doc_id"]) == 1
