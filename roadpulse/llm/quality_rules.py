@@ -19,6 +19,9 @@ WINDOW = 8
 FEWEST_WORDS = 20
 MOST_REPEATED = 30
 
+#: Words of a long line among which different ones are counted at once.
+BLOCK = 1000
+
 #: A document goes when its failing lines hold more than this many of a hundred words.
 MOST_LOST = 50
 
@@ -44,8 +47,8 @@ def failed_rule(line: str, seen: bool) -> str | None:
 
     navigation: three separators or more, with at most three words between them;
     punctuation: more than a tenth of its characters are symbols;
-    boilerplate: a stock phrase of web pages;
-    repeated: an earlier line again, or eight words or more of which under a fifth differ.
+    boilerplate: stock phrases of web pages make up a quarter of its words or more;
+    repeated: an earlier line again, or ``repeats_itself``.
     """
     words = line.encode().split()
     chars = len(line) - sum(line.count(c) for c in SPACES)
@@ -54,13 +57,28 @@ def failed_rule(line: str, seen: bool) -> str | None:
         return "navigation"
     if 10 * sum(line.count(c) for c in SYMBOLS) > chars:
         return "punctuation"
-    if BOILERPLATE.search(line.lower()):
+    if 4 * sum(len(phrase.split()) for phrase in BOILERPLATE.findall(line.lower())) >= max(1, len(words)):
         return "boilerplate"
-    if seen or len(words) >= 8 and 5 * len(set(words)) < len(words):
+    if seen or repeats_itself(words):
         return "repeated"
     return None
 
 
+def repeats_itself(words: Sequence[bytes]) -> bool:
+    """Eight words or more, of which under a fifth differ.
+
+    That share falls with the length of any text, so of more than ``BLOCK`` words
+    different ones are counted in every block, and a longer line also repeats
+    itself if under a fifth differ in all and over half stand in repeated windows.
+    """
+    if len(words) < 8 or 5 * len(set(words)) >= len(words):
+        return False
+    if 5 * sum(len(set(words[k : k + BLOCK])) for k in range(0, len(words), BLOCK)) < len(words):
+        return True
+    hashes = np.fromiter(map(_word_hashes.__getitem__, words), np.uint64, len(words))
+    return 2 * repeated_words(hashes) > len(words)
+
+
 def repeated_words(hashes: np.ndarray, window: int = WINDOW) -> int:
     """Words that lie in a window of ``window`` words found twice or more in the text."""
     n = len(hashes) - window + 1

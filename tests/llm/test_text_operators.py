@@ -150,6 +150,25 @@ def test_lines_that_fail():
     assert rule("A sentence | with one separator in a line of words.", False) is None
 
 
+def test_long_and_ordinary_lines_stay():
+    rng = np.random.default_rng(4)
+    known = [f"{w}{k % 40}" for k, w in enumerate(prose(9, 8000).split())]
+    often = 1 / np.arange(1, len(known) + 1)
+    words = [known[k] for k in rng.choice(len(known), 200_000, p=often / often.sum())]
+    line = " ".join(words)
+    assert 5 * len(set(words)) < len(words)
+    judged = dict(zip(quality_rules.ADDED, quality_rules.judge(line)))
+    assert judged["kept"] and judged["n_lost_words"] == 0 and judged["clean_text"] == line
+    assert quality_rules.judge(line + " powered by steam and click here")[-2]
+    rule = quality_rules.failed_rule
+    assert rule("The pumps of the old works were powered by steam until the year it closed.", False) is None
+    # Long lines that do repeat themselves: few words, one phrase, and a passage longer than a block.
+    assert rule(" ".join(str(k) for k in rng.integers(0, 50, 20_000)), False) == "repeated"
+    assert rule("buy now and pay later " * 4000, False) == "repeated"
+    assert rule(" ".join(words[:1500] * 8), False) == "repeated"
+    assert rule("Powered by Example. All rights reserved.", False) == "boilerplate"
+
+
 def test_rules_keep_good_documents_and_drop_bad_ones(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     labels = spark.read.parquet(f"{small}/labels.parquet")
