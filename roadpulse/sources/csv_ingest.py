@@ -204,13 +204,15 @@ def ingest_lines(
     )
 
 
-def _lines_by_header(spark: SparkSession, path: str) -> list[tuple[list[str], DataFrame]]:
+def _lines_by_header(spark: SparkSession, path: str, copy: str) -> list[tuple[list[str], DataFrame]]:
     """Header and data lines, once for every different header among the files.
 
     A header is the first line of a file that is not empty; an equal line further
-    down is data. With one file it costs a look at its beginning, with several a
-    pass over the text that parses nothing. The driver holds one line per file,
-    as it holds the list of files.
+    down is data. With one file it costs a look at its beginning. The text of
+    several is written to ``copy`` with the place of each line, as a line's id is
+    another one when files are dealt to tasks anew; headers are found there and
+    data is read from there. The driver holds one line per file, as it holds the
+    list of files.
     """
     value = F.col("value")
     text = spark.read.text(path).select(
@@ -224,6 +226,8 @@ def _lines_by_header(spark: SparkSession, path: str) -> list[tuple[list[str], Da
         first = lines.select("value", "_at", "_file").first()
         heads = [first] if first else []
     else:
+        lines.write.option("compression", "zstd").parquet(copy)
+        lines = spark.read.schema(lines.schema).parquet(copy)
         in_file = F.struct("_block", "_at", "value")
         heads = lines.groupBy("_file").agg(F.min(in_file).alias("first")).select("_file", "first.value", "first._at").collect()
     if not heads:
@@ -240,9 +244,12 @@ def _lines_by_header(spark: SparkSession, path: str) -> list[tuple[list[str], Da
     ]
 
 
-def _split_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Text columns of all files, matched by name where headers differ in their order."""
-    parts = _lines_by_header(spark, path)
+def _split_csv(spark: SparkSession, path: str, copy: str) -> DataFrame:
+    """Text columns of all files, matched by name where headers differ in their order.
+
+    Of several files the result reads the lines from ``copy``, which is written here.
+    """
+    parts = _lines_by_header(spark, path, copy)
     columns = parts[0][0]
     for other, _ in parts[1:]:
         if sorted(other) != sorted(columns):
@@ -269,13 +276,16 @@ def ingest_csv(
 ) -> Ingested:
     """Typed rows and rejected lines of CSV file(s) with a header.
 
-    Only headers are read at once; ``infer=True`` also writes the split text to
-    the scratch folder, from which types are found and rows are read. Files split between tasks at line ends. Several files
+    Of one file only the header is read at once, the text of several is written to
+    the scratch folder and read from there; ``infer=True`` also writes the split
+    text there, from which types are found and rows are read. Files split between tasks at line ends. Several files
     have to share their columns, if in different orders; others are refused.
     """
-    split = _split_csv(spark, path)
+    copy = scratch_path(spark, "csv-lines")
+    split = _split_csv(spark, path, copy)
     if infer:
         split = written(split, "csv-split")
+        remove_path(spark, copy)
     return split_clean_and_rejects(_typed(split, types, infer, rename))
 
 
@@ -296,13 +306,14 @@ def convert_csv(
     ``staged``; ``shared_dir.remove_path`` deletes it once the rejects are read.
     A table with none of the ``keys`` is written as it comes.
     """
-    split_path, staged = scratch_path(spark, "csv-split"), scratch_path(spark, "csv-staged")
-    split = _split_csv(spark, path)
+    copy, split_path, staged = (scratch_path(spark, f"csv-{label}") for label in ("lines", "split", "staged"))
+    split = _split_csv(spark, path, copy)
     if infer:
         # Read by inference and again by typing.
         split.write.option("compression", "zstd").parquet(split_path)
         split = spark.read.schema(split.schema).parquet(split_path)
     _typed(split, types, infer, rename=True).write.option("compression", "zstd").parquet(staged)
+    remove_path(spark, copy)
     if infer:
         remove_path(spark, split_path)
     stage = spark.read.parquet(staged)

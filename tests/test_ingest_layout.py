@@ -72,6 +72,22 @@ def test_csv_rows_and_rejects(spark, tmp_path):
     assert clean.select("id").count() == 5
 
 
+def test_headers_are_known_when_files_are_dealt_anew(spark, tmp_path):
+    """Between finding the headers and reading the rows, as when executors come or go."""
+    for k in range(6):
+        path = _csv(tmp_path, f"{k}.csv", "ID,Severity", *[f"{k}-{i},{i}" for i in range(3 + k)])
+    want = sorted((f"{k}-{i}", i) for k in range(6) for i in range(3 + k))
+    try:
+        clean, rejects = csv_ingest.ingest_csv(spark, path)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        assert sorted(map(tuple, clean.collect())) == want
+        assert rejects.isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
 def test_helper_names_do_not_clash(spark, tmp_path):
     path = _csv(tmp_path, "a.csv", "line,reject_reason,p,c0,Severity", "a,b,c,d,1", "a,b,c,d,x")
     clean, rejects = csv_ingest.ingest_csv(spark, path)
