@@ -20,6 +20,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
 def carried(df: DataFrame, columns: Iterable[str], added: Iterable[str]) -> list[str]:
     """Those of ``columns`` that do not clash (in any case) with a column to be added."""
     taken = {c.lower() for c in added}

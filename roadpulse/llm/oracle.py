@@ -101,6 +101,78 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM n WINDOW g AS (PARTITION BY norm)
 """
 
+# CRC-32 of each feature byte by byte, all features at once; 3988292384 is its polynomial.
+OP11 = rf"""
+WITH RECURSIVE
+steps AS (SELECT i, i AS c, 0 AS k FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+texts AS (SELECT 'd' AS part, doc_id AS id, coalesce(text, '') AS text FROM documents
+  UNION ALL SELECT 'b', item_id, coalesce(text, '') FROM benchmark),
+words AS (SELECT part, id, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+features AS (
+  SELECT part, id, unnest(w) AS f FROM words
+  UNION ALL SELECT part, id, w[i] || ' ' || w[i + 1] FROM (SELECT part, id, w, unnest(range(1, len(w))) AS i FROM words)),
+counted AS (SELECT part, id, f, count(*) AS n FROM features GROUP BY ALL),
+named AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM counted)),
+crc AS (SELECT f, h, 4294967295 AS c, 1 AS pos FROM named
+  UNION ALL SELECT f, h, xor(c >> 8, t[1 + (xor(c, CAST('0x' || substr(h, pos, 2) AS BIGINT)) & 255)]), pos + 2 FROM crc, crc_table WHERE pos < length(h)),
+buckets AS (SELECT f, xor(c, 4294967295) % 10000 AS b FROM crc WHERE pos > length(h)),
+placed AS (SELECT part, id, b, n FROM counted JOIN buckets USING (f)),
+sums AS (SELECT part, b, sum(n) AS n FROM placed GROUP BY ALL),
+totals AS (SELECT CAST(coalesce(sum(n) FILTER (part = 'd'), 0) AS DOUBLE) AS s_all, CAST(coalesce(sum(n) FILTER (part = 'b'), 0) AS DOUBLE) AS t_all FROM sums),
+gains AS (
+  SELECT b, CAST(floor(1000 * ln((t + 1) * (t_s + 10000) / ((s + 1) * (t_t + 10000)))) AS BIGINT) AS gain
+  FROM (SELECT b, CAST(coalesce(sum(n) FILTER (part = 'd'), 0) AS DOUBLE) AS s, CAST(coalesce(sum(n) FILTER (part = 'b'), 0) AS DOUBLE) AS t FROM sums GROUP BY b),
+       (SELECT s_all AS t_s, t_all AS t_t FROM totals)),
+weights AS (
+  SELECT id, CAST(sum(n) AS BIGINT) AS n_features, CAST(floor(CAST(sum(n * gain) AS DOUBLE) / CAST(sum(n) AS DOUBLE)) AS BIGINT) AS weight
+  FROM placed JOIN gains USING (b) WHERE part = 'd' GROUP BY id),
+scored AS (
+  SELECT id AS doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || id), 1, 8) AS BIGINT) + 0.5) / 4294967296.0))) AS BIGINT) AS score
+  FROM words LEFT JOIN weights USING (id) WHERE part = 'd'),
+placed_docs AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, 25 * count(*) OVER () // 100 AS most FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= most THEN r END AS rank
+FROM scored LEFT JOIN placed_docs USING (doc_id)
+"""
+
+OP12 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+found AS (SELECT row, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM found GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+cells AS (
+  SELECT g.lang, g.source, k.term, k.total, count(f.row) AS c
+  FROM groups g JOIN kept k ON g.lang = k.lang LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source AND f.term = k.term
+  GROUP BY ALL),
+sums AS (SELECT lang, source, sum(c) AS n FROM cells GROUP BY lang, source),
+shares AS (
+  SELECT c.lang, c.source, c.term, c.c, CAST(1 + 1000000000 * (c.c + 2) // (s.n + 2 * l.v) AS BIGINT) AS p,
+         CAST(1 + 1000000000 * (c.total + 2) // (l.n + 2 * l.v) AS BIGINT) AS q
+  FROM cells c JOIN sums s ON c.lang = s.lang AND c.source = s.source JOIN langs l ON c.lang = l.lang),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+all_pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(p.value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source),
+terms AS (SELECT lang, source, term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value FROM shares WHERE c > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM all_pairs
+UNION ALL
+SELECT * FROM (
+  SELECT lang, source, 'term', item, value,
+         CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM terms)
+WHERE rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -108,4 +180,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_quality_rules": OP6,
         "op7_source_mix": OP7,
         "op10_exact_dedup": OP10,
+        "op11_target_resampling": OP11,
+        "op12_source_divergence": OP12,
     }

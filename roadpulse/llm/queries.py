@@ -13,12 +13,15 @@ from roadpulse.llm import (
     license_scan,
     quality_ranking,
     quality_rules,
+    secret_scan,
+    source_divergence,
     source_mix,
     substring_dedup,
+    target_resampling,
     token_counts,
     toxicity,
 )
-from roadpulse.llm.common import documents, labels
+from roadpulse.llm.common import benchmark, documents, labels
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +68,19 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir), carry=["doc_id"])
 
 
+def op11_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target_resampling.resample(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence_audit(documents(spark, sf_dir))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(documents(spark, sf_dir))
+    return found.withColumn("spans", secret_scan.joined_spans())
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_substring_dedup,
@@ -77,5 +93,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_token_counts,
         op9_license_scan,
         op10_exact_dedup,
+        op11_target_resampling,
+        op12_source_divergence,
+        op13_secret_scan,
     ]
     return {query.__name__: query for query in found}
