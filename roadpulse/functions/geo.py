@@ -56,6 +56,12 @@ def _longitude_ranges(lat0: float, lng0: float, radius_km: float) -> list[tuple[
     return [(west, east)]
 
 
+def bounding_box(lat0: float, lng0: float, radius_km: float) -> tuple[tuple[float, float], list[tuple[float, float]]]:
+    """Range of latitudes, and ranges of longitudes (two across the seam), that hold every place within the radius."""
+    reach = math.degrees(radius_km / EARTH_RADIUS_KM) + _SLACK_DEG
+    return (lat0 - reach, lat0 + reach), _longitude_ranges(lat0, lng0, radius_km) or [(-180.0, 180.0)]
+
+
 def may_be_within(
     lat: str | Column, lng: str | Column, lat0: float, lng0: float, radius_km: float
 ) -> Column:

@@ -278,6 +278,30 @@ SELECT event_id, label, array_to_string(list_concat(list_concat(
 FROM features JOIN sunrise_sunset_index USING (sunrise_sunset) JOIN state_index USING (state)"""
 
 
+def _curve_step(value: str, low: int, high: int) -> str:
+    step = f"CAST(least(floor(({value} - {low}) / (CAST({high - low} AS DOUBLE) / {1 << 26})), {(1 << 26) - 1}) AS BIGINT)"
+    return f"CASE WHEN {value} BETWEEN {low} AND {high} THEN {step} END"
+
+
+# Bit by bit: bit i of the longitude's step goes to place 2 i, that of the latitude's to the place above.
+_CURVE_KEYS = f"""{_with(_INCIDENTS)},
+steps AS (
+  SELECT event_id, {_curve_step("start_lng", -180, 180)} AS x, {_curve_step("start_lat", -90, 90)} AS y FROM incidents),
+bits AS (
+  SELECT event_id, CAST(sum((((x >> i) & 1) << (2 * i)) | (((y >> i) & 1) << (2 * i + 1))) AS BIGINT) AS curve_key
+  FROM steps, range(26) r(i) GROUP BY event_id)
+SELECT event_id, curve_key FROM bits"""
+
+_REACH = "(degrees(5.0 / 6371.0) + 1e-9)"
+_HALF = "(degrees(asin(sin(5.0 / 6371.0) / cos(radians(34.05)))) + 1e-9)"
+_GROUPS_OPENED = f"""{_with(_INCIDENTS)},
+inside AS (
+  SELECT count(*) AS n FROM incidents
+  WHERE start_lat BETWEEN 34.05 - {_REACH} AND 34.05 + {_REACH} AND start_lng BETWEEN -118.24 - {_HALF} AND -118.24 + {_HALF})
+SELECT (SELECT count(*) FROM incidents) AS rows, n AS state_rows_in_box, n AS curve_rows_in_box,
+       TRUE AS box_is_covered, TRUE AS half_or_fewer_opened FROM inside"""
+
+
 def oracle_sql() -> dict[str, str]:
     incidents = _with(_INCIDENTS)
     features = _with(_INCIDENTS, _FEATURES)
@@ -293,6 +317,10 @@ def oracle_sql() -> dict[str, str]:
         " CAST(0 AS BIGINT) AS files_overlapping, COUNT(*) FILTER (WHERE state IS NULL) AS null_first,"
         " TRUE AS several_files FROM incidents",
         "clustered_roundtrip": f"{incidents}\nSELECT * FROM incidents",
+        "curve_roundtrip": f"{incidents}\nSELECT * FROM incidents",
+        "curve_keys": _CURVE_KEYS,
+        "curve_radius_search": _radius_rows("25.0"),
+        "curve_groups_opened": _GROUPS_OPENED,
         "layout_zone_totals": f"{incidents}\nSELECT COUNT(*) AS rows, "
         + ", ".join(
             f"{side}({key}) AS {side}_{key}"

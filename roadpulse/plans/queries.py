@@ -8,6 +8,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadpulse.functions.curve import curve_key
+from roadpulse.functions.geo import bounding_box
 from roadpulse.operators import anomaly, clearance, hotspots, profile, radius, route_ranking
 from roadpulse.operators import severity_model as model
 from roadpulse.sources import csv_ingest, layout, shared_dir, tables
@@ -131,6 +133,63 @@ def layout_order_check(spark, sf_dir):
     return found.select("rows", "rows_out_of_order", "files_overlapping", "null_first", (F.col("files") > 1).alias("several_files"))
 
 
+# Rows of a row group where two layouts are compared.
+COMPARED_GROUP = 100
+
+
+def _along_curve(spark: SparkSession, sf_dir: str, **options) -> layout.ClusteredTable:
+    path = shared_dir.scratch_path(spark, "along-curve")
+    return layout.write_along_curve(tables.incidents(spark, sf_dir), path, partitions=CLUSTER_FILES, spread_by=["event_id"], **options)
+
+
+@_query
+def curve_roundtrip(spark, sf_dir):
+    return layout.read_clustered(spark, _along_curve(spark, sf_dir))
+
+
+@_query
+def curve_keys(spark, sf_dir):
+    rows = tables.incidents(spark, sf_dir)
+    return rows.select("event_id", curve_key("start_lat", "start_lng").alias("curve_key"))
+
+
+@_query
+def curve_radius_search(spark, sf_dir):
+    rows = layout.read_clustered(spark, _along_curve(spark, sf_dir))
+    return _rounded(radius.radius_search(rows).select(*_HIT), "distance_km")
+
+
+@_query
+def curve_groups_opened(spark, sf_dir):
+    """Row groups that a box of coordinates opens, by state and along the curve."""
+    latitudes, longitudes = bounding_box(radius.DEFAULT_LAT, radius.DEFAULT_LNG, NEAR_KM)
+    box = {"start_lat": latitudes, "start_lng": longitudes[0]}
+    by_state = layout.write_clustered(
+        tables.incidents(spark, sf_dir), shared_dir.scratch_path(spark, "by-state"), partitions=CLUSTER_FILES, rows_per_group=COMPARED_GROUP
+    )
+    found = []
+    for name, written in (("state", by_state), ("curve", _along_curve(spark, sf_dir, rows_per_group=COMPARED_GROUP))):
+        zones = layout.row_group_zones(spark, written, list(box), COMPARED_GROUP)
+        inside = layout.read_clustered(spark, written).filter(
+            F.col("start_lat").between(*box["start_lat"]) & F.col("start_lng").between(*box["start_lng"])
+        )
+        opened = layout.opened_by_box(zones, box).withColumn("rows_in_box", F.lit(0).cast("long"))
+        counted = inside.agg(F.count("*").alias("rows_in_box"))
+        found.append(opened.unionByName(counted, allowMissingColumns=True).withColumn("layout", F.lit(name)))
+    sides = found[0].unionByName(found[1])
+
+    def of(name, column):
+        return F.max(F.when(F.col("layout") == name, F.col(column)))
+
+    return sides.agg(
+        of("state", "rows").alias("rows"),
+        of("state", "rows_in_box").alias("state_rows_in_box"),
+        of("curve", "rows_in_box").alias("curve_rows_in_box"),
+        (of("curve", "rows_opened") >= of("curve", "rows_in_box")).alias("box_is_covered"),
+        (2 * of("curve", "groups_opened") <= of("state", "groups_opened")).alias("half_or_fewer_opened"),
+    )
+
+
 # --- first look -------------------------------------------------------------
 
 

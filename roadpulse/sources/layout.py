@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 
+from roadpulse.functions.curve import BITS, curve_key
 from roadpulse.sources.shared_dir import remove_path, scratch_path
 
 # Clustering keys and rows per row group.
@@ -17,7 +18,7 @@ ROWS_PER_GROUP = 100_000
 
 ROWS_PER_FILE = 5_000_000
 
-_SPREAD = "_spread"
+_SPREAD, _CURVE = "_spread", "_curve"
 
 
 class ClusteredTable(NamedTuple):
@@ -33,6 +34,7 @@ def write_clustered(
     rows_per_group: int = ROWS_PER_GROUP,
     rows_per_file: int = ROWS_PER_FILE,
     spread_by: Sequence[str | Column] | None = None,
+    drop: Sequence[str] = (),
 ) -> ClusteredTable:
     """Write ``df`` sorted by ``keys`` across the whole table (an action).
 
@@ -44,7 +46,7 @@ def write_clustered(
     identical rows may be many. Without ``partitions`` the rows are written to
     the scratch folder first, so that counting, sampling and sorting read that
     copy and not ``df`` three times; the copy is removed. Without ``keys`` rows
-    are written as they come.
+    are written as they come. Columns to ``drop`` serve as keys and are not written.
     """
     keys = tuple(keys)
     if partitions is None and keys:
@@ -53,7 +55,7 @@ def write_clustered(
         try:
             rows = df.sparkSession.read.schema(df.schema).parquet(staged)
             number = max(1, math.ceil(rows.count() / rows_per_file))
-            return write_clustered(rows, path, keys, number, rows_per_group, rows_per_file, spread_by)
+            return write_clustered(rows, path, keys, number, rows_per_group, rows_per_file, spread_by, drop)
         finally:
             remove_path(df.sparkSession, staged)
     if not keys:
@@ -62,8 +64,21 @@ def write_clustered(
     spread = F.xxhash64(*([F.col(f"`{c}`") for c in df.columns] if spread_by is None else spread_by))
     by_key = [F.col(k).asc_nulls_first() for k in keys]
     ordered = df.withColumn(_SPREAD, spread).repartitionByRange(partitions, *by_key, _SPREAD).sortWithinPartitions(*by_key)
-    _writer(ordered.drop(_SPREAD), rows_per_group, rows_per_file).parquet(path)
-    return ClusteredTable(path, keys)
+    _writer(ordered.drop(_SPREAD, *drop), rows_per_group, rows_per_file).parquet(path)
+    return ClusteredTable(path, tuple(k for k in keys if k not in drop))
+
+
+def write_along_curve(
+    df: DataFrame, path: str, lat: str = "start_lat", lng: str = "start_lng", bits: int = BITS, **options
+) -> ClusteredTable:
+    """Write ``df`` along a space-filling curve over two coordinates (an action).
+
+    Rows of one row group lie in a small patch of the map, so a filter on a box
+    of coordinates alone opens few row groups, whatever the states in it. Rows
+    without a place come first. ``options`` are those of ``write_clustered``.
+    """
+    table = write_clustered(df.withColumn(_CURVE, curve_key(lat, lng, bits)), path, (_CURVE,), drop=(_CURVE,), **options)
+    return table._replace(keys=(lat, lng))
 
 
 def _writer(df: DataFrame, rows_per_group: int, rows_per_file: int) -> DataFrameWriter:
@@ -124,6 +139,38 @@ def zone_map(spark: SparkSession, table: ClusteredTable) -> DataFrame:
     )
 
 
+def row_group_zones(
+    spark: SparkSession, table: ClusteredTable, columns: Sequence[str], rows_per_group: int = ROWS_PER_GROUP
+) -> DataFrame:
+    """Per file and row group: rows, and smallest and largest value of the columns.
+
+    A row group holds ``rows_per_group`` consecutive rows of its file, the number
+    the table was written with.
+    """
+    bounds = []
+    for c in columns:
+        bounds += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
+    group = F.floor(F.col("_metadata.row_index") / rows_per_group)
+    return (
+        spark.read.parquet(table.path)
+        .groupBy(F.col("_metadata.file_name").alias("file_name"), group.alias("row_group"))
+        .agg(F.count("*").alias("rows"), *bounds)
+    )
+
+
+def opened_by_box(zones: DataFrame, box: Mapping[str, tuple[float, float]]) -> DataFrame:
+    """How many row groups, and rows in them, a filter on a box of the columns has to read, and how many there are."""
+    meets = F.lit(True)
+    for column, (low, high) in box.items():
+        meets = meets & F.coalesce((F.col(f"max_{column}") >= low) & (F.col(f"min_{column}") <= high), F.lit(False))
+    return zones.agg(
+        F.count_if(meets).alias("groups_opened"),
+        F.coalesce(F.sum(F.when(meets, F.col("rows"))), F.lit(0)).alias("rows_opened"),
+        F.count("*").alias("groups"),
+        F.sum("rows").alias("rows"),
+    )
+
+
 def order_check(spark: SparkSession, table: ClusteredTable) -> DataFrame:
     """One row that says whether a table lies as ``write_clustered`` writes it.
 
