@@ -311,6 +311,8 @@ def oracle_sql() -> dict[str, str]:
         "ingest_typed": _CLEAN,
         "ingest_rejects": _REJECTS,
         "ingest_csv_files": _CLEAN,
+        "ingest_records": f"SELECT * REPLACE (replace(props, ': ', ':' || chr(10)) AS props) FROM ({_CLEAN})",
+        "ingest_record_rejects": f"SELECT * REPLACE (replace(line, ': ', ':' || chr(10)) AS line) FROM ({_REJECTS})",
         "ingest_inferred": _INFERRED,
         "convert_roundtrip": _CLEAN,
         "layout_order_check": f"{incidents}\nSELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS rows_out_of_order,"

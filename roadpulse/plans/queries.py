@@ -19,6 +19,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Radius of the selective search, and of influence around a hotspot (km).
 NEAR_KM = 5.0
 INFLUENCE_KM = 2.0
+# Files of the events written as records of several lines.
+RECORD_FILES = 4
 # Files of the registered clustered tables.
 CLUSTER_FILES = 8
 # The state of the one-state hotspot report.
@@ -80,11 +82,31 @@ def _event_files(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def _event_record_files(spark: SparkSession, sf_dir: str) -> str:
+    """The same with a line break in every quoted field."""
+    path = shared_dir.scratch_path(spark, "event-records")
+    lines = tables.event_csv_lines(spark, sf_dir)
+    records = lines.select(F.lit(1).alias("at"), F.pmod(F.xxhash64("value"), F.lit(RECORD_FILES)).alias("file"), F.replace("value", F.lit(": "), F.lit(":\n")).alias("value"))
+    heads = spark.range(RECORD_FILES).select(F.lit(0).alias("at"), F.col("id").alias("file"), F.lit(",".join(tables.EVENT_CSV_COLUMNS)).alias("value"))
+    records.unionByName(heads).repartition("file").sortWithinPartitions("file", "at").drop("at").write.partitionBy("file").text(path)
+    return path
+
+
 @_query
 def ingest_csv_files(spark, sf_dir):
     return csv_ingest.ingest_csv(spark, _event_files(spark, sf_dir), tables.EVENT_CSV_TYPES).clean
 
 
+@_query
+def ingest_records(spark, sf_dir):
+    return csv_ingest.ingest_csv(spark, _event_record_files(spark, sf_dir), tables.EVENT_CSV_TYPES, multiline=True).clean
+
+
+@_query
+def ingest_record_rejects(spark, sf_dir):
+    return csv_ingest.ingest_csv(spark, _event_record_files(spark, sf_dir), tables.EVENT_CSV_TYPES, multiline=True).rejects
+
+
 @_query
 def ingest_inferred(spark, sf_dir):
     # "oops" among its numbers keeps the undeclared column "value" text.

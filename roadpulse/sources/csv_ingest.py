@@ -12,6 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadpulse.sources.csv_records import read_records
 from roadpulse.sources.layout import CLUSTER_KEYS, ClusteredTable, cluster_parquet
 from roadpulse.sources.shared_dir import remove_path, scratch_path, written
 
@@ -244,12 +245,25 @@ def _lines_by_header(spark: SparkSession, path: str, copy: str) -> list[tuple[li
     ]
 
 
-def _split_csv(spark: SparkSession, path: str, copy: str) -> DataFrame:
+def _records_by_header(spark: SparkSession, path: str) -> list[tuple[list[str], DataFrame]]:
+    """Header and data records, which may run over several lines, once for every different header."""
+    rows, heads = read_records(spark, path)
+    if not heads:
+        raise ValueError(f"no header line in {path}")
+    by_header: dict[str, list[str]] = {}
+    for file, header in sorted(heads.items()):
+        by_header.setdefault(header, []).append(file)
+    data = {h: rows if len(by_header) == 1 else rows.filter(F.col("file").isin(files)) for h, files in by_header.items()}
+    return [(next(csv.reader([header])), part.select("value")) for header, part in data.items()]
+
+
+def _split_csv(spark: SparkSession, path: str, copy: str, multiline: bool = False) -> DataFrame:
     """Text columns of all files, matched by name where headers differ in their order.
 
-    Of several files the result reads the lines from ``copy``, which is written here.
+    Of several files the result reads the lines from ``copy``, which is written here,
+    unless records of several lines are looked for.
     """
-    parts = _lines_by_header(spark, path, copy)
+    parts = _records_by_header(spark, path) if multiline else _lines_by_header(spark, path, copy)
     columns = parts[0][0]
     for other, _ in parts[1:]:
         if sorted(other) != sorted(columns):
@@ -273,16 +287,20 @@ def ingest_csv(
     types: Mapping[str, str] = DECLARED_TYPES,
     infer: bool = False,
     rename: bool = True,
+    multiline: bool = False,
 ) -> Ingested:
     """Typed rows and rejected lines of CSV file(s) with a header.
 
+    ``multiline`` takes line breaks inside quoted fields as part of the value
+    (``csv_records``); without it they end the record, which is then rejected.
+
     Of one file only the header is read at once, the text of several is written to
     the scratch folder and read from there; ``infer=True`` also writes the split
     text there, from which types are found and rows are read. Files split between tasks at line ends. Several files
     have to share their columns, if in different orders; others are refused.
     """
     copy = scratch_path(spark, "csv-lines")
-    split = _split_csv(spark, path, copy)
+    split = _split_csv(spark, path, copy, multiline)
     if infer:
         split = written(split, "csv-split")
         remove_path(spark, copy)
@@ -296,6 +314,7 @@ def convert_csv(
     keys: Sequence[str] = CLUSTER_KEYS,
     types: Mapping[str, str] = DECLARED_TYPES,
     infer: bool = False,
+    multiline: bool = False,
     **layout,
 ) -> Converted:
     """CSV to a clustered Parquet table at ``out``; returns it with the rejects.
@@ -307,7 +326,7 @@ def convert_csv(
     A table with none of the ``keys`` is written as it comes.
     """
     copy, split_path, staged = (scratch_path(spark, f"csv-{label}") for label in ("lines", "split", "staged"))
-    split = _split_csv(spark, path, copy)
+    split = _split_csv(spark, path, copy, multiline)
     if infer:
         # Read by inference and again by typing.
         split.write.option("compression", "zstd").parquet(split_path)
