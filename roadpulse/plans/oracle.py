@@ -199,6 +199,9 @@ SELECT CASE WHEN event_id % 101 = 0 THEN head
             ELSE 'bad_value:value' END AS reject_reason
 FROM parts WHERE event_id % 101 = 0 OR event_id % 107 = 0 OR event_id % 103 = 0"""
 
+_RECORDS = f"SELECT * REPLACE (replace(props, ': ', ':' || chr(10)) AS props) FROM ({_CLEAN})"
+_RECORD_REJECTS = f"SELECT * REPLACE (replace(line, ': ', ':' || chr(10)) AS line) FROM ({_REJECTS})"
+
 _COLUMN_TYPES = (
     ("event_id", "bigint"), ("severity", "bigint"), ("start_lat", "double"), ("start_lng", "double"),
     ("start_time", "string"), ("end_time", "string"), ("sunrise_sunset", "string"),
@@ -311,8 +314,10 @@ def oracle_sql() -> dict[str, str]:
         "ingest_typed": _CLEAN,
         "ingest_rejects": _REJECTS,
         "ingest_csv_files": _CLEAN,
-        "ingest_records": f"SELECT * REPLACE (replace(props, ': ', ':' || chr(10)) AS props) FROM ({_CLEAN})",
-        "ingest_record_rejects": f"SELECT * REPLACE (replace(line, ': ', ':' || chr(10)) AS line) FROM ({_REJECTS})",
+        "ingest_records": _RECORDS,
+        "ingest_record_rejects": _RECORD_REJECTS,
+        "ingest_stream": _RECORDS,
+        "ingest_stream_rejects": _RECORD_REJECTS,
         "ingest_inferred": _INFERRED,
         "convert_roundtrip": _CLEAN,
         "layout_order_check": f"{incidents}\nSELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS rows_out_of_order,"

@@ -13,6 +13,7 @@ from roadpulse.functions.geo import bounding_box
 from roadpulse.operators import anomaly, clearance, hotspots, profile, radius, route_ranking
 from roadpulse.operators import severity_model as model
 from roadpulse.sources import csv_ingest, layout, shared_dir, tables
+from roadpulse.streaming import continuous_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +108,26 @@ def ingest_record_rejects(spark, sf_dir):
     return csv_ingest.ingest_csv(spark, _event_record_files(spark, sf_dir), tables.EVENT_CSV_TYPES, multiline=True).rejects
 
 
+def _taken_in(spark: SparkSession, sf_dir: str) -> csv_ingest.Ingested:
+    """The same files as they arrive, a few to a micro-batch."""
+    out = shared_dir.scratch_path(spark, "taken-in")
+    source = _event_record_files(spark, sf_dir)
+    for _ in range(2):
+        # Started again, it finds nothing new.
+        continuous_ingest.follow_csv(spark, source, out, tables.EVENT_CSV_TYPES, files_per_batch=2, multiline=True).awaitTermination()
+    return continuous_ingest.taken_in(spark, out)
+
+
+@_query
+def ingest_stream(spark, sf_dir):
+    return _taken_in(spark, sf_dir).clean
+
+
+@_query
+def ingest_stream_rejects(spark, sf_dir):
+    return _taken_in(spark, sf_dir).rejects
+
+
 @_query
 def ingest_inferred(spark, sf_dir):
     # "oops" among its numbers keeps the undeclared column "value" text.

@@ -66,6 +66,10 @@ class Ingested(NamedTuple):
     rejects: DataFrame
 
 
+class NoHeader(ValueError):
+    """There is no line at all in the files."""
+
+
 class Converted(NamedTuple):
     table: ClusteredTable
     rejects: DataFrame
@@ -232,7 +236,7 @@ def _lines_by_header(spark: SparkSession, path: str, copy: str) -> list[tuple[li
         in_file = F.struct("_block", "_at", "value")
         heads = lines.groupBy("_file").agg(F.min(in_file).alias("first")).select("_file", "first.value", "first._at").collect()
     if not heads:
-        raise ValueError(f"no header line in {path}")
+        raise NoHeader(f"no header line in {path}")
     data = lines.join(F.broadcast(spark.createDataFrame([(h["_file"], h["_at"]) for h in heads], "_file string, _head long")), "_file")
     data = data.filter(F.col("_at") != F.col("_head"))
     by_header: dict[str, list[str]] = {}
@@ -249,7 +253,7 @@ def _records_by_header(spark: SparkSession, path: str) -> list[tuple[list[str],
     """Header and data records, which may run over several lines, once for every different header."""
     rows, heads = read_records(spark, path)
     if not heads:
-        raise ValueError(f"no header line in {path}")
+        raise NoHeader(f"no header line in {path}")
     by_header: dict[str, list[str]] = {}
     for file, header in sorted(heads.items()):
         by_header.setdefault(header, []).append(file)
@@ -307,6 +311,28 @@ def ingest_csv(
     return split_clean_and_rejects(_typed(split, types, infer, rename))
 
 
+def stage_csv(
+    spark: SparkSession, path: str | Sequence[str], out: str, types: Mapping[str, str] = DECLARED_TYPES, multiline: bool = False
+) -> list[str]:
+    """Rows and rejects of CSV file(s) into one Parquet folder, in place of what is there; returns the columns (an action).
+
+    The text is parsed once; ``read_staged`` tells rows and rejects apart. A folder
+    that a failed try left half written is replaced by the next.
+    """
+    copy = scratch_path(spark, "csv-lines")
+    try:
+        staged = _typed(_split_csv(spark, path, copy, multiline), types, infer=False, rename=True)
+        staged.write.mode("overwrite").option("compression", "zstd").parquet(out)
+    finally:
+        remove_path(spark, copy)
+    return [c for c in staged.columns if c not in (_LINE, _REASON)]
+
+
+def read_staged(staged: DataFrame) -> Ingested:
+    """Rows and rejects out of what ``stage_csv`` wrote."""
+    return split_clean_and_rejects(staged)
+
+
 def convert_csv(
     spark: SparkSession,
     path: str,

@@ -17,6 +17,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder wherever it is stored; one that is not there is no error."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
