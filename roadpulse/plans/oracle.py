@@ -359,6 +359,9 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT state, day, day_incidents, {_ROUNDED_MEANS} FROM daily",
         "entity_history_stats": f"{_with(_INCIDENTS, _daily(), _HISTORY)}\nSELECT state,"
         f" {_six("hist_mean")} AS hist_mean, {_six("hist_std")} AS hist_std, observed_days FROM history",
+        "history_moments": f"{_with(_INCIDENTS, _daily(), _HISTORY)}\nSELECT state,"
+        f" {_six("hist_mean")} AS hist_mean, {_six("hist_std")} AS hist_std, observed_days FROM history",
+        "history_anomalies": _anomalies(_daily()),
         "sigma_anomalies": _anomalies(_daily()),
         "sigma_anomalies_join": _anomalies(_daily()),
         "sigma_anomalies_prefix": _anomalies(_daily(_PREFIX)),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions.curve import curve_key
 from roadpulse.functions.geo import bounding_box
-from roadpulse.operators import anomaly, clearance, hotspots, profile, radius, route_ranking
+from roadpulse.operators import anomaly, clearance, history, hotspots, profile, radius, route_ranking
 from roadpulse.operators import severity_model as model
 from roadpulse.sources import csv_ingest, layout, shared_dir, tables
 from roadpulse.streaming import continuous_ingest
@@ -22,6 +22,8 @@ NEAR_KM = 5.0
 INFLUENCE_KM = 2.0
 # Files of the events written as records of several lines.
 RECORD_FILES = 4
+# Parts in which the history takes the incidents in.
+HISTORY_PARTS = 3
 # Files of the registered clustered tables.
 CLUSTER_FILES = 8
 # The state of the one-state hotspot report.
@@ -411,6 +413,29 @@ def sigma_anomalies_count(spark, sf_dir):
     return anomaly.anomaly_count(_anomalies(spark, sf_dir))
 
 
+def _history(spark: SparkSession, sf_dir: str) -> history.History:
+    """All incidents, taken in by parts that share their days."""
+    kept = history.History(spark, shared_dir.scratch_path(spark, "history"))
+    rows = tables.incidents(spark, sf_dir)
+    for part in range(HISTORY_PARTS):
+        kept.absorb(rows.filter(F.pmod("event_id", F.lit(HISTORY_PARTS)) == part))
+        if part == 1:
+            kept.compact()
+    return kept
+
+
+@_query
+def history_moments(spark, sf_dir):
+    found = _history(spark, sf_dir).moments()
+    std = F.when(F.col("n") > 1, F.sqrt(F.col("m2") / (F.col("n") - 1)))
+    return _rounded(found.select("state", F.col("mean").alias("hist_mean"), std.alias("hist_std"), F.col("n").alias("observed_days")), "hist_mean", "hist_std")
+
+
+@_query
+def history_anomalies(spark, sf_dir):
+    return _rounded(_history(spark, sf_dir).anomalies(), *_HISTORY, *anomaly.WEATHER)
+
+
 def _order_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anomaly.sigma_anomalies(tables.daily_orders(spark, sf_dir), "nation", "day_orders")
 

@@ -22,6 +22,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the numbered folders in a folder; none if it is not there."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in files.listStatus(jvm_path)] if files.exists(jvm_path) else []
+    return [n for n in names if n.isdigit()]
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder wherever it is stored; one that is not there is no error."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
