@@ -77,6 +77,32 @@ def _radius_rows(km: str) -> str:
 SELECT event_id, start_lat, start_lng, severity, {_six("km")} AS distance_km FROM hits WHERE km <= {km}"""
 
 
+# --- nearest without a radius, many centres ---------------------------------
+
+_DEPOTS = """
+depots AS (
+  SELECT s_suppkey AS depot,
+         CASE WHEN s_suppkey % 23 <> 0 THEN CAST(33.8 AS DOUBLE) + CAST(s_suppkey * 7 % 50 AS DOUBLE) / 100 END AS lat0,
+         CAST(-118.5 AS DOUBLE) + CAST(s_suppkey * 11 % 60 AS DOUBLE) / 100 AS lng0
+  FROM supplier)"""
+
+_AROUND = f"""{_with(_INCIDENTS, _DEPOTS)},
+pairs AS (
+  SELECT depot, event_id, {_distance("start_lat", "start_lng", "lat0", "lng0")} AS km FROM depots, incidents
+  WHERE start_lat IS NOT NULL AND start_lng IS NOT NULL AND lat0 IS NOT NULL)"""
+
+_PLACES = """
+places(place, lat0, lng0) AS (
+  VALUES ('near', 34.05::DOUBLE, -118.24::DOUBLE), ('far', 51.5, -0.13), ('pole', 90.0, 0.0), ('seam', -10.0, 180.0))"""
+
+_NEAREST = f"""{_with(_INCIDENTS, _PLACES)},
+ranked AS (
+  SELECT place, event_id, {_distance("start_lat", "start_lng", "lat0", "lng0")} AS km FROM places, incidents
+  WHERE start_lat IS NOT NULL AND start_lng IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY place ORDER BY round(km, 6), event_id) <= 10)
+SELECT place, event_id, {_six("km")} AS distance_km FROM ranked"""
+
+
 # --- hotspots ---------------------------------------------------------------
 
 
@@ -328,6 +354,10 @@ def oracle_sql() -> dict[str, str]:
         "curve_keys": _CURVE_KEYS,
         "curve_radius_search": _radius_rows("25.0"),
         "curve_groups_opened": _GROUPS_OPENED,
+        "nearest_anywhere": _NEAREST,
+        "incidents_around_depots": f"{_AROUND}\nSELECT depot, event_id, {_six("km")} AS distance_km FROM pairs WHERE km <= 2.0",
+        "incident_counts_around_depots": f"{_AROUND}\nSELECT depot, COUNT(event_id) AS incidents"
+        " FROM depots LEFT JOIN (SELECT * FROM pairs WHERE km <= 10.0) USING (depot) GROUP BY depot",
         "layout_zone_totals": f"{incidents}\nSELECT COUNT(*) AS rows, "
         + ", ".join(
             f"{side}({key}) AS {side}_{key}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions.curve import curve_key
 from roadpulse.functions.geo import bounding_box
-from roadpulse.operators import anomaly, clearance, history, hotspots, profile, radius, route_ranking
+from roadpulse.operators import anomaly, clearance, history, hotspots, nearest, profile, radius, route_ranking
 from roadpulse.operators import severity_model as model
 from roadpulse.sources import csv_ingest, layout, shared_dir, tables
 from roadpulse.streaming import continuous_ingest
@@ -278,6 +279,35 @@ def radius_count(spark, sf_dir):
     return radius.hit_count(_hits(spark, sf_dir))
 
 
+# --- nearest without a radius, many centres ---------------------------------
+
+# In the middle of the incidents, across an ocean, at a pole, on the seam of longitudes.
+PLACES = {"near": (34.05, -118.24), "far": (51.5, -0.13), "pole": (90.0, 0.0), "seam": (-10.0, 180.0)}
+# Around each depot: the radius in which incidents are listed, and that in which they are counted.
+LISTED_KM, COUNTED_KM = 2.0, 10.0
+
+
+@_query
+def nearest_anywhere(spark, sf_dir):
+    rows = tables.incidents(spark, sf_dir).select("event_id", "start_lat", "start_lng")
+    found = [
+        nearest.nearest_anywhere(rows, *at, tie_break="event_id").select(F.lit(name).alias("place"), "event_id", "distance_km")
+        for name, at in PLACES.items()
+    ]
+    return _rounded(functools.reduce(DataFrame.unionByName, found), "distance_km")
+
+
+@_query
+def incidents_around_depots(spark, sf_dir):
+    found = nearest.rows_around(tables.incidents(spark, sf_dir), tables.depots(spark, sf_dir), LISTED_KM, "depot", "event_id")
+    return _rounded(found, "distance_km")
+
+
+@_query
+def incident_counts_around_depots(spark, sf_dir):
+    return nearest.counts_around(tables.incidents(spark, sf_dir), tables.depots(spark, sf_dir), COUNTED_KM, "depot")
+
+
 # --- hotspots ---------------------------------------------------------------
 
 

@@ -13,6 +13,7 @@ _SCHEMAS = {
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
     "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
     "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
     "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
     " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
 }
@@ -82,6 +83,15 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr("*", *_TIME_TEXTS).selectExpr(*_INCIDENT_COLUMNS)
 
 
+def depots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A place per supplier, most of them where the incidents are; some have none."""
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS depot",
+        "CASE WHEN s_suppkey % 23 <> 0 THEN CAST(33.8 AS DOUBLE) + CAST(s_suppkey * 7 % 50 AS DOUBLE) / 100 END AS lat0",
+        "CAST(-118.5 AS DOUBLE) + CAST(s_suppkey * 11 % 60 AS DOUBLE) / 100 AS lng0",
+    )
+
+
 _CSV_HEAD = "event_id || ',' || user_id || ',' || event_type"
 _CSV_NUMBER = """CASE WHEN event_id % 103 = 0 THEN 'oops' WHEN event_id % 109 = 0 THEN 'N/A'
                       ELSE CAST(value AS STRING) END"""
