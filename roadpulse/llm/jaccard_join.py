@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import Remembered, small_batches, utf8_texts
+from roadpulse.llm.common import small_batches, utf8_texts, word_hashes
 from roadpulse.llm.components import connected_components
 from roadpulse.sources.shared_dir import written
 
@@ -40,17 +40,14 @@ EXTRA_PERCENT = 8
 MOST_BROADCAST_KEYS = 1_000_000
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_word_hashes = Remembered(xxhash.xxh64_intdigest)
 
 
-def shingle_hashes(text: bytes, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of a text; ASCII letters lower-cased."""
-    found = text.lower().split()
-    if not found:
+def shingle_hashes(hashes: np.ndarray, words: int = WORDS) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of a text, given those of its words."""
+    if not len(hashes):
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_word_hashes.__getitem__, found), np.uint64, len(found))
-    size = min(words, len(found))
-    count = len(found) - size + 1
+    size = min(words, len(hashes))
+    count = len(hashes) - size + 1
     with np.errstate(over="ignore"):
         at = np.full(count, size, np.uint64)
         for k in range(size):
@@ -76,8 +73,8 @@ def shingle_rows(docs: DataFrame, doc_id: str, text: str, words: int, percent: i
     def work(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in small_batches(batches, "_text", 4 << 20):
             n, digest, first = [], [], []
-            for text in utf8_texts(batch.column(2)):
-                found = shingle_hashes(text, words)
+            for hashes in word_hashes([t.lower() for t in utf8_texts(batch.column(2))]):
+                found = shingle_hashes(hashes, words)
                 n.append(len(found))
                 digest.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
                 first.append(found[: len(found) - needed(len(found), percent) + _extra(len(found))].view(np.int64))
@@ -111,7 +108,7 @@ def whole_sets(docs: DataFrame, doc_id: str, text: str, chosen: DataFrame, words
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in small_batches(batches, "_text", 4 << 20):
-            sets = [shingle_hashes(t, words).view(np.int64) for t in utf8_texts(batch.column(1))]
+            sets = [shingle_hashes(h, words).view(np.int64) for h in word_hashes([t.lower() for t in utf8_texts(batch.column(1))])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["v", "n", "shingles"]
             )

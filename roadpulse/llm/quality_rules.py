@@ -7,11 +7,10 @@ from collections.abc import Iterable, Sequence
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import Remembered, carried, small_batches
+from roadpulse.llm.common import carried, small_batches, word_hashes
 
 # Symbols, words in a repeated window, fewest words, most repeated words in a hundred.
 SYMBOLS = "#*$%&|<>"
@@ -39,7 +38,6 @@ _SCHEMA = (
 )
 
 _FACTOR = 0x9E3779B97F4A7C15
-_word_hashes = Remembered(xxhash.xxh64_intdigest)
 
 
 def failed_rule(line: str, seen: bool) -> str | None:
@@ -75,8 +73,7 @@ def repeats_itself(words: Sequence[bytes]) -> bool:
         return False
     if 5 * sum(len(set(words[k : k + BLOCK])) for k in range(0, len(words), BLOCK)) < len(words):
         return True
-    hashes = np.fromiter(map(_word_hashes.__getitem__, words), np.uint64, len(words))
-    return 2 * repeated_words(hashes) > len(words)
+    return 2 * repeated_words(word_hashes([b" ".join(words)])[0]) > len(words)
 
 
 def repeated_words(hashes: np.ndarray, window: int = WINDOW) -> int:
@@ -100,12 +97,12 @@ def repeated_words(hashes: np.ndarray, window: int = WINDOW) -> int:
     return int(np.count_nonzero(np.cumsum(covered[:-1])))
 
 
-def judge(text: str | None) -> tuple:
-    """The values of ``ADDED`` for one text; null counts as empty."""
+def judge(text: str | None, hashes: np.ndarray | None = None) -> tuple:
+    """The values of ``ADDED`` for one text, ``hashes`` being those of its words; null counts as empty."""
     text = text or ""
-    words = text.encode().split()
-    n_words = len(words)
-    hashes = np.fromiter(map(_word_hashes.__getitem__, words), np.uint64, n_words)
+    if hashes is None:
+        (hashes,) = word_hashes([text.encode()])
+    n_words = len(hashes)
     repeat = repeated_words(hashes)
     seen, keep, failed = set(), [], dict.fromkeys(RULES, 0)
     duplicates = lost = 0
@@ -153,9 +150,10 @@ def clean_lines(docs: DataFrame, text: str = "text", carry: Sequence[str] | None
     types = [*[pa.int64()] * (len(ADDED) - 3), pa.bool_(), pa.bool_(), pa.string()][: len(added)]
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        for batch in small_batches(batches, "_text"):
-            texts = batch.column(batch.schema.get_field_index("_text")).to_pylist()
-            found = list(zip(*map(judge, texts))) or [()] * len(ADDED)
+        for batch in small_batches(batches, "_text", 4 << 20):
+            texts = [t or "" for t in batch.column(batch.schema.get_field_index("_text")).to_pylist()]
+            hashes = word_hashes([t.encode() for t in texts])
+            found = list(zip(*map(judge, texts, hashes))) or [()] * len(ADDED)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(i) for i in range(len(names))], *[pa.array(v, t) for v, t in zip(found, types)]],
                 names=[*names, *added],
