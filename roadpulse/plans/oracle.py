@@ -331,6 +331,31 @@ SELECT (SELECT count(*) FROM incidents) AS rows, n AS state_rows_in_box, n AS cu
        TRUE AS box_is_covered, TRUE AS half_or_fewer_opened FROM inside"""
 
 
+_OPEN = f"""{_with(_INCIDENTS)},
+timed AS (
+  SELECT state, TRY_CAST(start_time AS TIMESTAMP) AS s, TRY_CAST(end_time AS TIMESTAMP) AS e FROM incidents),
+usable AS (SELECT * FROM timed WHERE e >= s)"""
+
+# By overlap of every incident with every hour; the most open by a running sum over every moment.
+_OPEN_BY_HOUR = f"""{_OPEN},
+hours AS (
+  SELECT unnest(generate_series(date_trunc('hour', min(s)), date_trunc('hour', max(e)), INTERVAL 1 HOUR)) AS hour FROM usable),
+moments AS (
+  SELECT s AS m, 1 AS c FROM usable UNION ALL SELECT e, -1 FROM usable UNION ALL SELECT hour, 0 FROM hours),
+running AS (SELECT m, sum(sum(c)) OVER (ORDER BY m) AS o FROM moments GROUP BY m),
+most AS (SELECT date_trunc('hour', m) AS hour, max(o) AS most_open FROM running GROUP BY 1)
+SELECT h.hour, CAST(count(*) FILTER (s >= h.hour AND s < h.hour + INTERVAL 1 HOUR) AS BIGINT) AS began,
+       CAST(count(*) FILTER (s < h.hour AND e >= h.hour) AS BIGINT) AS open_before, CAST(any_value(most_open) AS BIGINT) AS most_open,
+       {_six("coalesce(sum(greatest(0, date_diff('microsecond', greatest(s, h.hour), least(e, h.hour + INTERVAL 1 HOUR)))) FILTER (s IS NOT NULL), 0) / 60000000::DOUBLE")} AS open_minutes
+FROM hours h JOIN most USING (hour) LEFT JOIN usable ON s < h.hour + INTERVAL 1 HOUR AND e >= h.hour
+GROUP BY h.hour"""
+
+_OPEN_BY_STATE = f"""{_OPEN},
+moments AS (SELECT state, s AS moment, 1 AS c FROM usable UNION ALL SELECT state, e, -1 FROM usable)
+SELECT state, moment, CAST(sum(sum(c)) OVER (PARTITION BY state ORDER BY moment) AS BIGINT) AS open
+FROM moments GROUP BY state, moment"""
+
+
 def oracle_sql() -> dict[str, str]:
     incidents = _with(_INCIDENTS)
     features = _with(_INCIDENTS, _FEATURES)
@@ -358,6 +383,9 @@ def oracle_sql() -> dict[str, str]:
         "incidents_around_depots": f"{_AROUND}\nSELECT depot, event_id, {_six("km")} AS distance_km FROM pairs WHERE km <= 2.0",
         "incident_counts_around_depots": f"{_AROUND}\nSELECT depot, COUNT(event_id) AS incidents"
         " FROM depots LEFT JOIN (SELECT * FROM pairs WHERE km <= 10.0) USING (depot) GROUP BY depot",
+        "open_by_hour": _OPEN_BY_HOUR,
+        "open_by_state": _OPEN_BY_STATE,
+        "open_unusable": f"{_OPEN}\nSELECT (SELECT count(*) FROM timed) - (SELECT count(*) FROM usable) AS unusable",
         "layout_zone_totals": f"{incidents}\nSELECT COUNT(*) AS rows, "
         + ", ".join(
             f"{side}({key}) AS {side}_{key}"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions.curve import curve_key
 from roadpulse.functions.geo import bounding_box
-from roadpulse.operators import anomaly, clearance, history, hotspots, nearest, profile, radius, route_ranking
+from roadpulse.operators import anomaly, clearance, history, hotspots, nearest, open_incidents, profile, radius, route_ranking
 from roadpulse.operators import severity_model as model
 from roadpulse.sources import csv_ingest, layout, shared_dir, tables
 from roadpulse.streaming import continuous_ingest
@@ -508,6 +508,24 @@ def clearance_by_twilight(spark, sf_dir):
     return _rounded(clearance.clearance_by(tables.incidents(spark, sf_dir), lights), "mean_clearance_min")
 
 
+# --- incidents open at once -------------------------------------------------
+
+
+@_query
+def open_by_hour(spark, sf_dir):
+    return _rounded(open_incidents.open_by_hour(tables.incidents(spark, sf_dir)), "open_minutes")
+
+
+@_query
+def open_by_state(spark, sf_dir):
+    return open_incidents.open_at(tables.incidents(spark, sf_dir), by="state")
+
+
+@_query
+def open_unusable(spark, sf_dir):
+    return open_incidents.unusable(tables.incidents(spark, sf_dir))
+
+
 # --- severity model ---------------------------------------------------------
 
 
