@@ -14,8 +14,9 @@ giving each its place is done by the cluster.
 from __future__ import annotations
 
 import bisect
+import itertools
 import zlib
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -24,15 +25,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm.byte_bpe import load_tokenizer, pieces
-from roadpulse.llm.common import small_batches
+from roadpulse.llm.common import ENTRY_BYTES, small_batches
+from roadpulse.llm.pair_merges import pair_merges
 from roadpulse.sources.shared_dir import written
 
 # Tokens of a sequence, token after each document.
 CAPACITY = 2048
 END = 0
 
-_MOST_REMEMBERED = 900_000
-_JOINED = 5_000
+#: What a worker remembers of pieces at most, besides those of one batch.
+MOST_BYTES = 96 << 20
+
+_JOINED = 30_000
+_ALONE = 5_000
 _MOST_RANK = 1 << 40
 
 
@@ -41,6 +46,7 @@ class Vocabulary:
 
     def __init__(self, path: str | None):
         self.tokenizer = load_tokenizer(path)
+        self.merges = pair_merges(path)
         special = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         vocabulary = self.tokenizer.get_vocab()
         # A character of a token's name stands for one byte, but in special tokens.
@@ -51,38 +57,54 @@ class Vocabulary:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
+        self.held = 0
         self.flat = np.zeros(1 << 20, np.uint32)
         self.starts = np.zeros(1 << 18, np.int64)
         self.lengths = np.zeros(1 << 18, np.int64)
         self.used = 0
 
-    def learn(self, texts: Iterable[list[str]]) -> None:
-        """Encode the pieces not met yet.
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Encode pieces not met yet.
 
         Pieces that begin with white space and do not end with it encode in one
-        text as they do alone, so they are joined: a call costs more than a piece.
+        text as they do alone, so they are joined, and merged side by side where
+        that gives the library's ids. The others go to the library one by one.
         """
-        if len(self.index) > _MOST_REMEMBERED:
-            self.clear()
         joined, alone = [], []
-        for piece in {p for text in texts for p in text if p not in self.index}:
+        for piece in pieces:
             (joined if piece[0].isspace() and not piece[-1].isspace() else alone).append(piece)
         for at in range(0, len(joined), _JOINED):
-            part = joined[at : at + _JOINED]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.cumsum([len(p.encode()) for p in part])
-            upto = np.cumsum(self.bytes[ids])
-            last = np.searchsorted(upto, ends)
-            if last[-1] == len(ids) - 1 and (upto[last] == ends).all():
-                self._add(part, ids, np.diff(last, prepend=-1))
-            else:
-                alone += part
-        for at in range(0, len(alone), _JOINED):
-            part = alone[at : at + _JOINED]
+            self._learn_joined(joined[at : at + _JOINED], alone)
+        for at in range(0, len(alone), _ALONE):
+            part = alone[at : at + _ALONE]
             found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             lengths = np.fromiter(map(len, found), np.int64, len(found))
             self._add(part, np.fromiter((i for x in found for i in x), np.uint32, int(lengths.sum())), lengths)
 
+    def _learn_joined(self, part: list[str], alone: list[str]) -> None:
+        """Encode pieces as one text; those for which that does not do are added to ``alone``."""
+        merges = self.merges
+        if not merges.usable:
+            alone += part
+            return
+        text = "".join(part)
+        odd = [*merges.odd_characters(text), *(s for s in merges.special if s in text)]
+        if odd:
+            alone += [p for p in part if any(s in p for s in odd)]
+            part = [p for p in part if not any(s in p for s in odd)]
+            text = "".join(part)
+        ids = merges.ids(text).astype(np.uint32)
+        ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)))
+        if not text.isascii():
+            data = np.frombuffer(text.encode(), np.uint8)
+            ends = np.append(np.flatnonzero(data & 0xC0 != 0x80), len(data))[ends]
+        upto = np.cumsum(self.bytes[ids])
+        last = np.searchsorted(upto, ends)
+        if len(part) and last[-1] == len(ids) - 1 and (upto[last] == ends).all():
+            self._add(part, ids, np.diff(last, prepend=-1))
+        else:
+            alone += part
+
     def _add(self, part: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         first = len(self.index)
         while first + len(part) > len(self.starts):
@@ -93,17 +115,32 @@ class Vocabulary:
         self.starts[first : first + len(part)] = self.used + np.cumsum(lengths) - lengths
         self.flat[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
+        self.held += sum(map(len, part)) + 4 * len(ids) + ENTRY_BYTES * len(part)
         self.index.update(zip(part, range(first, first + len(part))))
 
-    def ids(self, text: list[str], end: int) -> np.ndarray:
-        """Ids of a text whose pieces are known, and ``end``."""
-        at = np.fromiter(map(self.index.__getitem__, text), np.int64, len(text))
+    def ids(self, texts: Sequence[list[str]], end: int) -> list[np.ndarray]:
+        """Ids of texts given in pieces, each followed by ``end``."""
+        if self.held > MOST_BYTES:
+            self.clear()
+        every = list(itertools.chain.from_iterable(texts))
+        at = np.fromiter(map(self.index.get, every, itertools.repeat(-1)), np.int64, len(every))
+        new = np.flatnonzero(at < 0).tolist()
+        if new:
+            unknown = [every[k] for k in new]
+            self.learn(dict.fromkeys(unknown))
+            at[new] = np.fromiter(map(self.index.__getitem__, unknown), np.int64, len(unknown))
         lengths = self.lengths[at]
         upto = np.cumsum(lengths)
         total = int(upto[-1]) if len(at) else 0
-        out = np.full(total + 1, end, "<u4")
-        if total:
-            out[:total] = self.flat[np.repeat(self.starts[at] - upto + lengths, lengths) + np.arange(total)]
+        flat = self.flat[np.repeat(self.starts[at] - upto + lengths, lengths) + np.arange(total)]
+        # Where each text ends among the pieces, and so among the ids.
+        ends = np.append(0, upto)[np.cumsum([len(t) for t in texts])] if texts else []
+        out, start = [], 0
+        for stop in ends:
+            ids = np.empty(stop - start + 1, "<u4")
+            ids[:-1], ids[-1] = flat[start:stop], end
+            out.append(ids)
+            start = stop
         return out
 
 
@@ -136,10 +173,8 @@ def tokenised_pieces(
         vocabulary = _vocabularies[path]
         for batch in small_batches(batches, "_text", 4 << 20):
             cut = [pieces(t or "") for t in batch.column(1).to_pylist()]
-            vocabulary.learn(cut)
             row, out = [], [[] for _ in types]
-            for k, text_pieces in enumerate(cut):
-                ids = vocabulary.ids(text_pieces, end)
+            for k, ids in enumerate(vocabulary.ids(cut, end)):
                 edge = (len(ids) - 1) % capacity + 1
                 bounds = [0, *range(edge, len(ids) + 1, capacity)]
                 for n, (a, b) in enumerate(zip(bounds, bounds[1:])):

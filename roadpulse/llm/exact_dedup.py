@@ -50,8 +50,10 @@ def exact_dedup(
     through, with no shuffle. The others (equal texts, and about one row in
     ``slots_per_row`` by chance) are written out and grouped by SHA-256.
 
-    The filter is broadcast if it has at most ``most_broadcast_words`` words;
-    beyond that it is joined by shuffle, with the same result.
+    The filter is broadcast if it has at most ``most_broadcast_words`` words.
+    Beyond that it is partitioned, and rows meet it by their slots, with the same
+    result: they are shuffled with their digest, id and the carried columns and not
+    with their text, so carry the id and not the text of such a table.
 
     Added columns: ``keep_id`` (smallest id of the group), ``group_size``,
     ``kept``, ``text_sha256``. ``carry`` names the columns of ``docs`` to return
@@ -66,17 +68,19 @@ def exact_dedup(
     slot_bits = min(60, max(12, math.ceil(math.log2(max(1, rows) * slots_per_row))))
     the_text = normalised(F.col(text))
     bloom = written(repeated_slots(docs.select(F.xxhash64(the_text).alias("_hash")), slot_bits), "repeated-slots")
-    if bloom.count() <= most_broadcast_words:
-        bloom = F.broadcast(bloom)
-
     names = [f"_carried{i}" for i in range(len(columns))]
-    probed = (
-        docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)], F.col(doc_id).alias("_id"), the_text.alias("_norm"))
-        .withColumn("_slot", F.shiftrightunsigned(F.xxhash64("_norm"), 64 - slot_bits))
-        .join(bloom, F.shiftright("_slot", 6) == F.col("word"), "left")
-    )
-    hit = F.expr("coalesce(shiftright(bits, CAST(_slot & 63 AS INT)) & 1L, 0L) = 1L")
+    probed = docs.select(
+        *[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)], F.col(doc_id).alias("_id"), the_text.alias("_norm")
+    ).withColumn("_slot", F.shiftrightunsigned(F.xxhash64("_norm"), 64 - slot_bits))
     digest = F.sha2("_norm", 256).alias("text_sha256")
+    in_filter = F.shiftright("_slot", 6) == F.col("word")
+    if bloom.count() <= most_broadcast_words:
+        probed = probed.join(F.broadcast(bloom), in_filter, "left")
+    else:
+        # A slot that many rows have is a hot key; the join splits it, as it has no aggregate above.
+        narrow = probed.select(*names, "_id", "_slot", digest)
+        probed, digest = written(narrow.join(bloom, in_filter, "left"), "probed"), F.col("text_sha256")
+    hit = F.expr("coalesce(shiftright(bits, CAST(_slot & 63 AS INT)) & 1L, 0L) = 1L")
 
     single = probed.filter(~hit).select(
         *names, F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), digest

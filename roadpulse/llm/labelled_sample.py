@@ -58,13 +58,19 @@ def _share(rows: int, of: int) -> int:
 
 
 def scored(rows: DataFrame, scorer: Callable[[], Callable[[str | None], float]], least: float) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of (doc_id, held_out, _text); ``scorer`` is called once per task."""
+    """(doc_id, held_out, score, predicted) of (doc_id, held_out, _text); ``scorer`` is called once per task.
+
+    If what it returns has ``prepare``, that sees the texts of a batch before they are scored.
+    """
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         score = scorer()
         for batch in small_batches(batches, "_text"):
-            found = [score(t) for t in batch.column(2).to_pylist()]
+            texts = batch.column(2).to_pylist()
+            if hasattr(score, "prepare"):
+                score.prepare(texts)
+            found = [score(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.float64()), pa.array([int(s >= least) for s in found], pa.int32())],
                 names=["doc_id", "held_out", "score", "predicted"],

@@ -4,8 +4,9 @@ Each text is streamed once through the automaton. After each word it is in the
 state of the longest run of words, ending there, that stands in a template
 (the matching statistic). A run that the next word does not lengthen is a long
 match if it has ``SHORTEST`` words or is a whole template; matches of one
-template that keep its order are chained, and the words of the template that the
-best chain covers decide.
+template that keep its order are chained, and the words of the template that a
+chain covers decide. A chain ends where the text is done with its notice, so
+several notices of one licence are several spans.
 """
 
 from __future__ import annotations
@@ -25,6 +26,9 @@ from roadpulse.llm.licenses import PHRASES, TEMPLATES
 SHORTEST = 4
 COVERED = 0.6
 
+#: Words between two matches of one notice at most, or as many as its template has.
+FAR = 50
+
 ADDED = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans")
 _SPAN = "array<struct<label string, template int, first_word long, last_word long, covered int>>"
 
@@ -57,7 +61,7 @@ class LicenseAutomaton:
     """Suffix automaton of all templates and phrases together.
 
     Per state: length of its longest string, suffix link, transitions by word,
-    per template one place where its strings end, and the phrases that its
+    per template all places where its strings end, and the phrases that its
     strings can end with.
     """
 
@@ -66,16 +70,16 @@ class LicenseAutomaton:
         self.templates = [(words_of(t.encode()), label) for label, t in templates]
         self.length, self.link = [0], [-1]
         self.next: list[dict[bytes, int]] = [{}]
-        self.ends: list[dict[int, int]] = [{}]
+        self.ends: list[dict[int, set[int]]] = [{}]
         for number, (words, _) in enumerate([*self.templates, *self.phrases]):
             state = 0
             for at, word in enumerate(words):
                 state = self._extend(state, word)
-                self.ends[state].setdefault(number, at)
+                self.ends[state].setdefault(number, set()).add(at)
         by_length = sorted(range(1, len(self.length)), key=self.length.__getitem__, reverse=True)
         for state in by_length:
             for number, at in self.ends[state].items():
-                self.ends[self.link[state]].setdefault(number, at)
+                self.ends[self.link[state]].setdefault(number, set()).update(at)
         self.closing: list[list[tuple[int, str]]] = [[] for _ in self.length]
         for words, label in self.phrases:
             state = 0
@@ -144,30 +148,66 @@ class LicenseAutomaton:
                     places.append((at - n + 1, label))
         if run > 1:
             matches.append((len(words) - 1, run, state))
-        spans = self._chains(matches, shortest)
+        spans = self._chains(matches, shortest, covered)
         score = max([1.0 if places else 0.0, *(s.covered / len(self.templates[s.template][0]) for s in spans)])
         spans = [s for s in spans if s.covered >= covered * len(self.templates[s.template][0])]
         return Found(len(words), places, spans, score)
 
-    def _chains(self, matches: list[tuple[int, int, int]], shortest: int) -> list[Span]:
-        """Per template the chain of matches that covers most of it."""
-        best: dict[int, list[tuple[int, int, int]]] = {}
-        top: dict[int, Span] = {}
+    def _chains(self, matches: list[tuple[int, int, int]], shortest: int, covered: float) -> list[Span]:
+        """The chains of every template, each the best of its stretch of the text."""
+        found: list[Span] = []
+        open_: dict[int, Chain] = {}
         for at, run, state in matches:
-            for number, end in self.ends[state].items():
+            for number, ends in self.ends[state].items():
                 if number >= len(self.templates) or run < min(shortest, len(self.templates[number][0])):
                     continue
                 words, label = self.templates[number]
-                # chain[k]: most words covered by matches that end at template word k, and where they stand.
-                chain = best.setdefault(number, [(0, -1, -1)] * len(words))
-                start = end - run + 1
-                before, first, last = max(chain[:start], default=(0, -1, -1))
-                entry = (before + run, first if before else at - run + 1, at)
-                if entry[0] > chain[end][0]:
-                    chain[end] = entry
-                if number not in top or entry[0] > top[number].covered:
-                    top[number] = Span(label, number, entry[1], at, entry[0])
-        return [top[k] for k in sorted(top)]
+                chain = open_.get(number)
+                if chain and chain.is_over(at - run + 1, [e - run + 1 for e in ends], covered):
+                    found.append(chain.best)
+                    chain = None
+                if not chain:
+                    chain = open_[number] = Chain(number, label, len(words))
+                chain.add(at, run, ends)
+        return sorted(found + [c.best for c in open_.values()], key=lambda s: (s.template, s.first_word))
+
+
+class Chain:
+    """Matches of one template in one stretch of the text.
+
+    ``upto[k]`` holds the most words of the template that matches cover which keep
+    its order and end at its word ``k``, and the first word of the text in them.
+    """
+
+    def __init__(self, number: int, label: str, size: int):
+        self.number, self.label = number, label
+        self.upto = [(0, -1)] * size
+        self.best: Span | None = None
+        self.last = -1
+
+    def is_over(self, start: int, places: list[int], covered: float) -> bool:
+        """Whether a match that begins at ``start`` in the text belongs to another notice.
+
+        It does if it is farther off than the template is long (and ``FAR`` words),
+        or if the notice is covered well enough and the match goes on from none of
+        what covers it, but begins anew.
+        """
+        if start - self.last > max(FAR, len(self.upto)):
+            return True
+        done = self.best.covered >= covered * len(self.upto)
+        return done and not any(covers for place in places for covers, _ in self.upto[:place])
+
+    def add(self, at: int, run: int, ends: Iterable[int]) -> None:
+        new = []
+        for end in ends:
+            covers, first = max(self.upto[: end - run + 1], key=lambda e: e[0], default=(0, -1))
+            new.append((end, (covers + run, first if covers else at - run + 1)))
+        for end, entry in new:
+            if entry[0] > self.upto[end][0]:
+                self.upto[end] = entry
+            if self.best is None or entry[0] > self.best.covered:
+                self.best = Span(self.label, self.number, entry[1], at, entry[0])
+        self.last = at
 
 
 @functools.cache
@@ -180,8 +220,8 @@ def scan_licenses(docs: DataFrame, text: str = "text", carry: Sequence[str] | No
     """Every row with what the scan finds in its whole text (lazy, no shuffle).
 
     ``n_base``, ``first_word`` and ``last_word`` count the places of the phrases
-    and give their smallest and largest start; ``spans`` holds the templates that
-    a chain covers by ``COVERED`` or more; ``labels`` those of both; ``score`` is
+    and give their smallest and largest start; ``spans`` holds the chains that
+    cover ``COVERED`` of their template or more, by template and place; ``labels`` those of both; ``score`` is
     the largest share of a template covered, 1 where a phrase stands. Null text
     is empty and has no label, score 0 and null places; an empty table gives an
     empty result. ``carry`` names the columns to return (all by default); one

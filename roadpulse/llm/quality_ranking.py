@@ -4,7 +4,8 @@ Each document has a strength, linear in its features. That a good document beats
 a bad one has the probability that a logistic curve gives the difference of their
 strengths; the weights minimise the logistic loss over preference pairs, that is
 over feature differences. A strength is good from a quantile of the strengths on:
-that of the share of bad documents.
+that of the share of bad documents among the labelled ones, over the strengths of
+all documents.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 
 from roadpulse.llm.common import Remembered
 from roadpulse.llm.labelled_sample import labelled_sample, remainder, scored
+from roadpulse.llm.numbering import kth_highest
+from roadpulse.sources.shared_dir import written
 
 # Folds by CRC-32 of the id, the fold that is held out, score from which a document is good.
 FOLDS = 5
@@ -40,7 +43,7 @@ _DIGITS = re.compile(r"\d+")
 
 def shape(word: str) -> str:
     """Letters as ``a``, digits as ``0``, every other character as it is, runs once."""
-    out = _DIGITS.sub("0", _LETTERS.sub("a", word[:64]))
+    out = _DIGITS.sub("0", _LETTERS.sub("a", word))
     return "".join(c for i, c in enumerate(out) if not i or out[i - 1] != c)
 
 
@@ -84,17 +87,24 @@ def features(text: str | None) -> np.ndarray:
 
 @dataclass
 class Ranking:
-    """Weights on standardised features, the strength at the threshold, and the spread of strengths."""
+    """Weights on standardised features, the strength at the threshold, the spread of strengths, the share of bad ones.
+
+    The threshold is that of the fitted rows. Without both labels there is no share to take a quantile at.
+    """
 
     middle: np.ndarray
     spread: np.ndarray
     weights: np.ndarray
     threshold: float
     width: float
+    bad: float | None = None
 
     def strength(self, rows: np.ndarray) -> np.ndarray:
         return np.clip((rows - self.middle) / self.spread, -8, 8) @ self.weights
 
+    def strengths(self):
+        return lambda text: float(self.strength(features(text)))
+
     def scorer(self):
         at_threshold = np.log(GOOD_FROM / (1 - GOOD_FROM))
 
@@ -134,15 +144,17 @@ def fit(texts: Sequence[str], labels: Sequence[int], seed: int = 7) -> Ranking:
     # Between the strongest of the bad share of documents and the weakest of the rest.
     ordered = np.sort(strength)
     threshold = (ordered[len(bad) - 1] + ordered[len(bad)]) / 2
-    return Ranking(middle, spread, weights, float(threshold), float(max(1e-6, np.median(strength[good]) - np.median(strength[bad]))) / 8)
+    width = float(max(1e-6, np.median(strength[good]) - np.median(strength[bad]))) / 8
+    return Ranking(middle, spread, weights, float(threshold), width, len(bad) / len(y))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
-    """Per document: id, ``held_out``, ``score`` (0 to 1), ``predicted`` (fits in the driver, then lazy, no shuffle).
+    """Per document: id, ``held_out``, ``score`` (0 to 1), ``predicted`` (fits in the driver, then several actions).
 
     The fit reads a bounded sample of labelled documents (``labelled_sample``)
-    outside the held-out fold; every whole text is scored, an empty or null one
-    as one with no words. Rows without an id are never held out; labels that are
+    outside the held-out fold; every whole text has a strength, an empty or null one
+    as one with no words. Strengths are written, and the quantile is that of all of
+    them, exactly; only those around it are sorted. Rows without an id are never held out; labels that are
     null, or of no document, are not used; an empty table gives an empty result;
     other columns are not read.
     """
@@ -150,4 +162,20 @@ def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     ranking = fit([t for t, _ in sample], [k for _, k in sample])
     held_out = F.coalesce(remainder(doc_id, FOLDS) == HELD_OUT, F.lit(False))
     rows = docs.select(F.col(doc_id).alias("doc_id"), held_out.alias("held_out"), F.col(text).alias("_text"))
-    return scored(rows, ranking.scorer, GOOD_FROM)
+    if ranking.bad is None:
+        return scored(rows, ranking.scorer, GOOD_FROM)
+    found = scored(rows, ranking.strengths, 0.0).drop("predicted").withColumn("_row", F.monotonically_increasing_id())
+    found = written(found, "strengths")
+    total = found.count()
+    good = total - round(ranking.bad * total)
+    if not total or not good:
+        threshold = float("inf")
+    else:
+        threshold = kth_highest(found, good, total)
+    z = (F.col("score") - F.lit(threshold)) / F.lit(ranking.width) + F.lit(float(np.log(GOOD_FROM / (1 - GOOD_FROM))))
+    score = 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(40.0)), F.lit(-40.0))))
+    # The document at the threshold is good, whatever its score is rounded to.
+    is_good = F.col("strength") >= F.lit(threshold)
+    judged = found.withColumn("strength", F.col("score")).withColumn("score", score)
+    judged = judged.withColumn("score", F.when(is_good, F.greatest("score", F.lit(GOOD_FROM))).otherwise(F.col("score")))
+    return judged.select("doc_id", "held_out", "score", (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"))

@@ -31,7 +31,10 @@ MOST_TERMS = 10
 #: Terms of a block.
 BLOCK = 1024
 
-_HELD_BYTES = 24 << 20
+#: Sources by whose counts terms are sorted before the rest decides.
+KEY_SOURCES = 3
+
+_HELD_BYTES = 64 << 20
 _ENTRY_BYTES = 150
 _PIECE = 1 << 20
 
@@ -214,8 +217,11 @@ def divergence_audit(
     named = docs.select(F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.coalesce(F.col(source), F.lit("")).alias("source"))
     all_groups = written(named.distinct(), "divergence-groups")
     kept = written(kept_terms(group_counts(docs, text, lang, source), fewest_documents), "divergence-terms")
-    # Whole columns as the key: terms with the same counts in all sources stand together.
-    terms = numbered(kept, [F.col("lang"), F.col("column"), F.col("term")], "divergence-order")
+    # The first sources and counts and then all of them, as a hash: terms with the same counts in
+    # all sources stand together, and those with the same first ones near them. The key stays
+    # small however many sources there are, since the sort's ranges come from a sample of keys.
+    order = [F.col("lang"), F.slice("column", 1, KEY_SOURCES), F.xxhash64("column"), F.col("term")]
+    terms = numbered(kept, order, "divergence-order")
     langs = terms.groupBy("lang").agg(F.min("number").alias("before"), F.count("*").alias("terms"), F.sum("total").alias("lang_all"))
     langs = written(langs, "divergence-langs")
     placed = terms.join(langs, "lang").withColumn("place", F.col("number") - F.col("before"))

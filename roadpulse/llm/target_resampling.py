@@ -15,7 +15,6 @@ import math
 import zlib
 from collections.abc import Iterable, Iterator
 from itertools import repeat
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm.common import small_batches, utf8_texts
-from roadpulse.llm.numbering import numbered
+from roadpulse.llm.numbering import ACCURACY, MARGIN, bracket, numbered
 from roadpulse.sources.shared_dir import written
 
 # Buckets, share drawn in a hundred, fewest words, seed, scale of the scores.
@@ -33,10 +32,6 @@ FEWEST_WORDS = 20
 SEED = 7
 SCALE = 1000
 
-#: Share of the rows on each side of the cutoff that the first bracket takes in, and the sketch's accuracy.
-MARGIN = 0.005
-ACCURACY = 10_000
-
 _BLOCK = 1 << 20
 
 # Letters, digits and all that is not ASCII stay, in lower case; the rest separates words.
@@ -125,34 +120,6 @@ def scored(
     return rows.mapInArrow(work, f"doc_id {id_type}, " + ", ".join(f"{c} long" for c in names[1:]))
 
 
-class Bracket(NamedTuple):
-    """Scores between which the last drawn one lies, and how many rows lie above."""
-
-    low: int
-    high: int
-    above: int
-
-
-def bracket(rows: DataFrame, wanted: int, total: int, margin: float = MARGIN, accuracy: int = ACCURACY) -> Bracket:
-    """A proven bracket of the ``wanted``-th highest of ``total`` scores (two actions a try).
-
-    The sketch's bounds are guesses. Rows above and inside are counted; if the
-    cutoff is not inside, the margin grows fourfold, at last to all scores.
-    """
-    while True:
-        shares = [max(0.0, 1 - wanted / total - margin), min(1.0, 1 - wanted / total + margin)]
-        low, high = rows.agg(F.percentile_approx("score", shares, accuracy).alias("q")).head()["q"]
-        low, high = (low if shares[0] > 0 else None), (high if shares[1] < 1 else None)
-        over = F.lit(False) if high is None else F.col("score") > high
-        under = F.lit(False) if low is None else F.col("score") < low
-        found = rows.agg(
-            F.count_if(over).alias("above"), F.count_if(under).alias("below"), F.min("score").alias("least"), F.max("score").alias("most")
-        ).head()
-        if found["above"] < wanted <= total - found["below"]:
-            return Bracket(found["least"] if low is None else low, found["most"] if high is None else high, found["above"])
-        margin *= 4
-
-
 def _order() -> list[Column]:
     """Best first; the rows' own numbers make the order total, repeated rows too."""
     return [

@@ -44,6 +44,23 @@ RATE = 0.3
 _WORD = re.compile(r"[^\W_]+")
 
 
+def _crc_tables() -> list[np.ndarray]:
+    """What a byte does to CRC-32, by the number of zero bytes that follow it (none to three)."""
+    first = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        first = first >> np.uint32(1) ^ np.where(first & 1, np.uint32(0xEDB88320), np.uint32(0))
+    tables = [first]
+    for _ in range(3):
+        tables.append(tables[-1] >> np.uint32(8) ^ first[tables[-1] & 255])
+    return tables
+
+
+_CRC = _crc_tables()
+
+#: New words of which the margins are found at once.
+NEW_WORDS = 20_000
+
+
 def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
@@ -57,6 +74,37 @@ def subwords(word: str) -> list[int]:
     return found
 
 
+def word_margins(words: Sequence[str], margins: np.ndarray) -> np.ndarray:
+    """Per word the mean of ``margins`` over its ``subwords``, all words at a time.
+
+    CRC-32 goes over a character (four bytes) in one step, for the n-grams that
+    begin at any place of any word at once; the n-grams of a size are those that
+    end within their word.
+    """
+    marked = [f"<{w}>" for w in words]
+    lengths = np.fromiter(map(len, marked), np.int64, len(marked))
+    chars = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4")
+    if not len(chars):
+        return np.zeros(0)
+    starts = np.cumsum(lengths) - lengths
+    room = np.repeat(starts + lengths, lengths) - np.arange(len(chars))
+    whole = [zlib.crc32(m.encode("utf-32-le", "surrogatepass")) % BUCKETS for m in marked]
+    total, counts = margins[whole].astype(np.float64), np.ones(len(marked), np.int64)
+    crc = np.full(len(chars), 0xFFFFFFFF, np.uint32)
+    for size in range(1, GRAMS[-1] + 1):
+        fit = len(chars) - size + 1
+        if fit <= 0:
+            break
+        state = crc[:fit]
+        state ^= chars[size - 1 :]
+        state[:] = _CRC[3][state & 255] ^ _CRC[2][state >> 8 & 255] ^ _CRC[1][state >> 16 & 255] ^ _CRC[0][state >> 24]
+        if size in GRAMS:
+            value = np.where(room[:fit] >= size, margins[(state ^ np.uint32(0xFFFFFFFF)) % np.uint32(BUCKETS)], 0.0)
+            total += np.add.reduceat(np.concatenate([value, np.zeros(len(chars) - fit)]), starts)
+            counts += np.maximum(lengths - size + 1, 0)
+    return total / counts
+
+
 def best_passage(values: np.ndarray, passage: int = PASSAGE) -> tuple[int, float]:
     """Start and mean of the ``passage`` values in a row that have the largest mean."""
     if len(values) <= passage:
@@ -87,7 +135,17 @@ class Model:
 
     def scorer(self):
         margins = self.margins
-        known = Remembered(lambda word: float(margins[subwords(word)].mean()))
+        known = Remembered(lambda word: float(margins[subwords(word)].astype(np.float64).mean()))
+
+        def prepare(texts: Sequence[str | None]) -> None:
+            """Margins of the words of some texts that are new, many at a time."""
+            new: set[str] = set()
+            for text in texts:
+                new.update(w for w in words_of(text) if w not in known and len(w) <= known.longest)
+                if len(new) >= NEW_WORDS:
+                    known.put(new, word_margins(list(new), margins).tolist())
+                    new = set()
+            known.put(new, word_margins(list(new), margins).tolist())
 
         def score(text: str | None) -> float:
             words = words_of(text)
@@ -97,6 +155,7 @@ class Model:
             z = float(document_features(values, self.bias) @ self.scale)
             return 1 / (1 + np.exp(-min(40.0, max(-40.0, z))))
 
+        score.prepare = prepare
         return score
 
 

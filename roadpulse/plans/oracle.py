@@ -356,6 +356,18 @@ SELECT state, moment, CAST(sum(sum(c)) OVER (PARTITION BY state ORDER BY moment)
 FROM moments GROUP BY state, moment"""
 
 
+_SKETCHED = [c for c, _ in _COLUMN_TYPES if c != "state"]
+_SKETCH_BOUNDS = f"{_with(_INCIDENTS)}\n" + "\nUNION ALL ".join(
+    f"SELECT CAST({i} AS BIGINT) AS ordinal, '{c}' AS column_name, COUNT({c}) AS non_null, TRUE AS different_holds,"
+    f" {'TRUE' if dict(_COLUMN_TYPES)[c] != 'string' else 'CAST(NULL AS BOOLEAN)'} AS quantiles_hold, TRUE AS frequent_holds FROM incidents"
+    for i, c in enumerate(_SKETCHED)
+)
+_SKETCH_VALUES = f"{_with(_INCIDENTS)}\n" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, COUNT(*) AS n FROM incidents GROUP BY {c}"
+    for c in ("severity", "sunrise_sunset", "street")
+)
+
+
 def oracle_sql() -> dict[str, str]:
     incidents = _with(_INCIDENTS)
     features = _with(_INCIDENTS, _FEATURES)
@@ -386,6 +398,8 @@ def oracle_sql() -> dict[str, str]:
         "open_by_hour": _OPEN_BY_HOUR,
         "open_by_state": _OPEN_BY_STATE,
         "open_unusable": f"{_OPEN}\nSELECT (SELECT count(*) FROM timed) - (SELECT count(*) FROM usable) AS unusable",
+        "sketch_profile_bounds": _SKETCH_BOUNDS,
+        "sketch_profile_values": _SKETCH_VALUES,
         "layout_zone_totals": f"{incidents}\nSELECT COUNT(*) AS rows, "
         + ", ".join(
             f"{side}({key}) AS {side}_{key}"

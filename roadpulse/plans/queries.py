@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions.curve import curve_key
 from roadpulse.functions.geo import bounding_box
-from roadpulse.operators import anomaly, clearance, history, hotspots, nearest, open_incidents, profile, radius, route_ranking
+from roadpulse.operators import anomaly, clearance, history, hotspots, nearest, open_incidents, profile, radius, route_ranking, sketch_profile
 from roadpulse.operators import severity_model as model
 from roadpulse.sources import csv_ingest, layout, shared_dir, tables
 from roadpulse.streaming import continuous_ingest
@@ -250,6 +250,23 @@ def column_profile(spark, sf_dir):
     return profile.column_profile(tables.incidents(spark, sf_dir))
 
 
+@_query
+def sketch_profile_bounds(spark, sf_dir):
+    """Sketches per state, merged, against exact values."""
+    rows = tables.incidents(spark, sf_dir)
+    kept = shared_dir.written(sketch_profile.column_sketches(rows, by=["state"]), "column-sketches")
+    return sketch_profile.against_exact(rows, sketch_profile.estimates(sketch_profile.merged(kept)))
+
+
+@_query
+def sketch_profile_values(spark, sf_dir):
+    """Columns with fewer values than the sketches follow: exact, whatever they were merged from."""
+    rows = tables.incidents(spark, sf_dir)
+    kept = shared_dir.written(sketch_profile.column_sketches(rows, by=["state"], columns=["severity", "sunrise_sunset", "street"]), "column-sketches")
+    found = sketch_profile.estimates(sketch_profile.merged(kept), most=sketch_profile.FOLLOWED)
+    return found.select("column_name", F.inline("frequent")).select("column_name", F.col("item").alias("value"), F.col("count").alias("n"))
+
+
 # --- radius search ----------------------------------------------------------
 
 _HIT = ("event_id", "start_lat", "start_lng", "severity", "distance_km")

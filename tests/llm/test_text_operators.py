@@ -57,6 +57,37 @@ def test_exact_dedup_beyond_the_broadcast_bound(spark, tiny):
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
 
 
+def test_no_text_is_shuffled_beyond_the_broadcast_bound(spark, tiny, monkeypatch):
+    plans = []
+    real = exact_dedup.written
+
+    def noted(df, label):
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        plans.append(df._jdf.queryExecution().explainString(mode))
+        return real(df, label)
+
+    monkeypatch.setattr(exact_dedup, "written", noted)
+    docs = spark.read.parquet(f"{tiny}/documents.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        noted(exact_dedup.exact_dedup(docs, carry=["doc_id"], most_broadcast_words=0), "result")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^]]*)\]", "\n".join(plans))
+    assert len(exchanges) >= 4
+    assert not [e for e in exchanges if "_norm" in e or "text#" in e]
+
+
+def test_copies_of_a_third_of_the_table(spark):
+    rows = [(k, "the same  text") for k in range(400)] + [(7, f"own {k}") for k in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    for most in (0, 10**6):
+        got = exact_dedup.exact_dedup(docs, carry=["doc_id"], most_broadcast_words=most, slots_per_row=1).collect()
+        assert len(got) == 1200
+        assert sum(r["kept"] for r in got) == 801
+        assert {(r["keep_id"], r["group_size"]) for r in got if r["group_size"] > 1} == {(0, 400)}
+
+
 def test_deduplicated_keeps_columns(spark):
     df = awkward(spark)
     kept = exact_dedup.deduplicated(df)
