@@ -26,6 +26,12 @@ SELECT r.v AS doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.u) AS com
 FROM reach r LEFT JOIN sizes s ON s.doc_id = r.v GROUP BY r.v
 """
 
+# The stock phrases of the quality rules.
+_PHRASES = (
+    "all rights reserved|cookie policy|cookie settings|accept cookies|privacy policy|terms of use|terms of service"
+    "|enable javascript|lorem ipsum|click here|subscribe to our newsletter|skip to content|powered by"
+)
+
 OP6 = rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
@@ -39,12 +45,24 @@ lines AS (
          row_number() OVER (PARTITION BY doc_id, line ORDER BY pos) > 1 AS again,
          len(regexp_extract_all(line, '[|»›·•→]')) AS seps
   FROM split WHERE regexp_matches(line, '{_WORD}')),
+windows_of_lines AS (
+  SELECT doc_id, pos, i, list_slice(lw, i, i + 7) AS x
+  FROM (SELECT doc_id, pos, lw, unnest(range(1, len(lw) - 6)) AS i FROM lines WHERE len(lw) > 1000 AND 5 * len(list_distinct(lw)) < len(lw))),
+twice_in_line AS (SELECT doc_id, pos, i FROM windows_of_lines QUALIFY count(*) OVER (PARTITION BY doc_id, pos, x) > 1),
+repeats AS (
+  SELECT doc_id, pos, count(DISTINCT j) AS n FROM (SELECT doc_id, pos, unnest(range(i, i + 8)) AS j FROM twice_in_line) GROUP BY doc_id, pos),
+measured AS (
+  SELECT l.*, coalesce(r.n, 0) AS n_again,
+         list_sum([len(string_split(p, ' ')) for p in regexp_extract_all(lower(line), '{_PHRASES}')]) AS n_stock,
+         list_sum([len(list_distinct(list_slice(lw, k, k + 999))) for k in range(1, len(lw) + 1, 1000)]) AS n_per_block
+  FROM lines l LEFT JOIN repeats r ON r.doc_id IS NOT DISTINCT FROM l.doc_id AND r.pos = l.pos),
 failed AS (
   SELECT *, seps >= 3 AND len(lw) <= 3 * (seps + 1)
       OR 10 * length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) > length(regexp_replace(line, '{_SPACE}', '', 'g'))
-      OR regexp_matches(lower(line), 'all rights reserved|cookie policy|cookie settings|accept cookies|privacy policy|terms of use|terms of service|enable javascript|lorem ipsum|click here|subscribe to our newsletter|skip to content|powered by')
-      OR again OR len(lw) >= 8 AND 5 * len(list_distinct(lw)) < len(lw) AS fails
-  FROM lines),
+      OR 4 * coalesce(n_stock, 0) >= len(lw)
+      OR again
+      OR len(lw) >= 8 AND 5 * len(list_distinct(lw)) < len(lw) AND (5 * n_per_block < len(lw) OR 2 * n_again > len(lw)) AS fails
+  FROM measured),
 per_doc AS (
   SELECT doc_id, sum(CASE WHEN again THEN 1 ELSE 0 END) AS dup, sum(CASE WHEN fails THEN len(lw) ELSE 0 END) AS lost
   FROM failed GROUP BY doc_id),
