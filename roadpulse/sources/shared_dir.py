@@ -7,13 +7,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path under ``spark.checkpoint.dir``, else under the warehouse.
+def scratch_base(master: str, checkpoint_dir: str | None, warehouse_dir: str) -> str:
+    """The folder for scratch: the checkpoint folder if one is set, else the warehouse.
 
-    Both are storage that the session's executors share; the machine's temporary
-    folder is not. The caller removes what is written there.
+    A warehouse on a machine's own disk serves a session whose executors are on
+    that machine (master ``local...``); on a cluster it is refused, as every machine would
+    write to a folder of its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    if checkpoint_dir:
+        return checkpoint_dir
+    if warehouse_dir.startswith(("file:", "/")) and not master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return warehouse_dir
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the session's folder for scratch (``scratch_base``); the caller removes what is written there."""
+    conf = spark.conf
+    base = scratch_base(conf.get("spark.master", "local"), conf.get("spark.checkpoint.dir", None), conf.get("spark.sql.warehouse.dir"))
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
