@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roadpulse.llm import best_fit_packing, exact_dedup, jaccard_join, quality_rules, source_mix
 from roadpulse.llm.common import documents
-from roadpulse.sources.shared_dir import written
+from roadpulse.sources.shared_dir import collected, remove_paths, written
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,10 +47,20 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other, each over the written result of the one before."""
-    docs = documents(spark, sf_dir)
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = written(docs, f"pipeline-{name}")
-    return docs
+    """The stages one after the other, each over the written result of the one before.
+
+    What a stage wrote for itself, and the result it read, are removed once its own
+    result is written. The last stage's result is lazy and keeps what it reads.
+    Null columns, empty and repeated texts and an empty table are what the stages
+    say of them: rejected, merged or packed as empty; columns of documents that no
+    stage knows are carried along to the last.
+    """
+    docs, read = documents(spark, sf_dir), []
+    for name, stage in STAGES[:-1]:
+        with collected() as scratch:
+            found = stage(spark, docs, sf_dir)
+        with collected() as result:
+            docs = written(found, f"pipeline-{name}")
+        remove_paths(spark, [*scratch, *read])
+        read = result
+    return STAGES[-1][1](spark, docs, sf_dir)

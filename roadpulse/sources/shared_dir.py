@@ -3,10 +3,38 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_handed_out: ContextVar[list[str] | None] = ContextVar("handed_out", default=None)
+
+
+@contextmanager
+def collected() -> Iterator[list[str]]:
+    """The paths for scratch that are handed out inside the block, but not in one within it.
+
+    For steps whose tables serve one result only: once that is written, nothing
+    reads them, and ``remove_paths`` deletes them.
+    """
+    paths: list[str] = []
+    before = _handed_out.set(paths)
+    try:
+        yield paths
+    finally:
+        _handed_out.reset(before)
+
+
+def hand_over(paths: Iterable[str]) -> None:
+    """Paths that outlive the block they were collected in, passed to the block around it."""
+    around = _handed_out.get()
+    if around is not None:
+        around.extend(paths)
+
+
 def scratch_base(master: str, checkpoint_dir: str | None, warehouse_dir: str) -> str:
     """The folder for scratch: the checkpoint folder if one is set, else the warehouse.
 
@@ -25,7 +53,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the session's folder for scratch (``scratch_base``); the caller removes what is written there."""
     conf = spark.conf
     base = scratch_base(conf.get("spark.master", "local"), conf.get("spark.checkpoint.dir", None), conf.get("spark.sql.warehouse.dir"))
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    paths = _handed_out.get()
+    if paths is not None:
+        paths.append(path)
+    return path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -47,6 +79,11 @@ def remove_path(spark: SparkSession, path: str) -> None:
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
+def remove_paths(spark: SparkSession, paths: Iterable[str]) -> None:
+    for path in paths:
+        remove_path(spark, path)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` computed once into the shared folder, and read from there (an action).
 
