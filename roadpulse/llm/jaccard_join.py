@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.llm.common import small_batches, utf8_texts, word_hashes
 from roadpulse.llm.components import connected_components
-from roadpulse.sources.shared_dir import written
+from roadpulse.sources.shared_dir import collected, hand_over, remove_paths, written
 
 # Words of a shingle, percent of the union that links.
 WORDS = 4
@@ -173,18 +173,9 @@ def links_of(sets: DataFrame, percent: int) -> DataFrame:
     return links.unionByName(linked(across, sets, percent))
 
 
-def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``stays``, ``key`` (several actions).
-
-    ``component_id`` is the smallest id reachable by links (ids that are null
-    come last); ``stays`` marks one row of each component; ``key`` is the hash of
-    the text. Documents with equal sets are one vertex, so copies are never
-    paired. Null texts and texts without words have no shingles and stay as they
-    are; a text of fewer words than a shingle has one; rows that repeat an id
-    and text are copies; an empty table gives an empty result; other columns are
-    not read.
-    """
-    rows = written(shingle_rows(docs, doc_id, text, words, percent).withColumn("v", F.monotonically_increasing_id()), "shingle-rows")
+def _class_components(docs: DataFrame, doc_id: str, text: str, words: int, percent: int, rows: DataFrame) -> DataFrame:
+    """(``digest``, ``component_id``, ``staying``) of each distinct set of the ``rows``; tables of a step go when the next is written."""
+    spark = docs.sparkSession
     first_row = F.struct(F.isnull("doc_id").alias("no_id"), F.col("doc_id").alias("id"), F.col("v").alias("v"))
     classes = written(rows.filter("n > 0").groupBy("digest").agg(F.min(first_row).alias("least")).select("digest", "least", F.col("least.v").alias("v")), "classes")
 
@@ -193,26 +184,53 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     seen = _shared(entries).groupBy("v").agg(F.count("*").alias("seen"))
     # A partner has at least `needed` shingles, and so reads on by this much at least.
     enough = f"seen >= 1 + {EXTRA_PERCENT} * (({percent} * n + 99) div 100) div 100"
-    hopeful = written(rows.drop("first", "digest").join(seen, "v").filter(enough).select("v", "key", F.col("doc_id").alias("id")), "hopeful")
-
-    whole = written(whole_sets(docs, doc_id, text, hopeful, words), "whole-sets")
-    if whole.count() > hopeful.count():
-        # Some rows repeat an id with its text.
-        whole = written(whole.dropDuplicates(["v"]), "whole-sets")
-    shared = (
-        _shared(whole.select("v", "n", F.explode("shingles").alias("h")))
-        .groupBy("v", "n")
-        .agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("lists"))
-        .select("v", "n", F.size("lists").cast("long").alias("m"), F.col("lists.h").alias("shared"))
-        .filter(f"m >= ({percent} * n + 99) div 100")
-    )
-    links = links_of(written(shared, "shared-sets"), percent)
-    labels = connected_components(written(links, "all-links"))
+    with collected() as of_sets:
+        hopeful = written(rows.drop("first", "digest").join(seen, "v").filter(enough).select("v", "key", F.col("doc_id").alias("id")), "hopeful")
+
+        whole = written(whole_sets(docs, doc_id, text, hopeful, words), "whole-sets")
+        if whole.count() > hopeful.count():
+            # Some rows repeat an id with its text.
+            whole = written(whole.dropDuplicates(["v"]), "whole-sets")
+        shared = (
+            _shared(whole.select("v", "n", F.explode("shingles").alias("h")))
+            .groupBy("v", "n")
+            .agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("lists"))
+            .select("v", "n", F.size("lists").cast("long").alias("m"), F.col("lists.h").alias("shared"))
+            .filter(f"m >= ({percent} * n + 99) div 100")
+        )
+    with collected() as of_links:
+        shared = written(shared, "shared-sets")
+        remove_paths(spark, of_sets)
+        links = links_of(shared, percent)
+    links = written(links, "all-links")
+    remove_paths(spark, of_links)
+    labels = connected_components(links)
 
     named = classes.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
     named = written(named.select("digest", "label", "least"), "class-labels")
     smallest = named.groupBy("label").agg(F.min("least").alias("least"))
-    named = written(named.select("digest", "label").join(smallest, "label").select("digest", F.col("least.id").alias("component_id"), F.col("least.v").alias("staying")), "components")
+    return named.select("digest", "label").join(smallest, "label").select("digest", F.col("least.id").alias("component_id"), F.col("least.v").alias("staying"))
+
+
+def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``stays``, ``key`` (several actions).
+
+    ``component_id`` is the smallest id reachable by links (ids that are null
+    come last); ``stays`` marks one row of each component; ``key`` is the hash of
+    the text. Documents with equal sets are one vertex, so copies are never
+    paired. Null texts and texts without words have no shingles and stay as they
+    are; a text of fewer words than a shingle has one; rows that repeat an id
+    and text are copies; an empty table gives an empty result; other columns are
+    not read.
+    """
+    spark = docs.sparkSession
+    rows = written(shingle_rows(docs, doc_id, text, words, percent).withColumn("v", F.monotonically_increasing_id()), "shingle-rows")
+    with collected() as scratch:
+        named = _class_components(docs, doc_id, text, words, percent, rows)
+        with collected() as result:
+            named = written(named, "components")
+    remove_paths(spark, scratch)
+    hand_over(result)
     return rows.join(named, "digest", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -227,9 +245,11 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
 
     Rows that repeat an id and its text go or stay together.
     """
-    found = jaccard_components(docs, doc_id, text, words, percent)
+    with collected() as scratch:
+        found = jaccard_components(docs, doc_id, text, words, percent)
     gone = found.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.max("stays").alias("stays")).filter("NOT stays")
     gone = written(gone.drop("stays"), "near-copies")
+    remove_paths(docs.sparkSession, scratch)
     names = docs.columns
     at = {n: f"c{i}" for i, n in enumerate(names)}
     key = F.xxhash64(F.coalesce(F.col(at[text]), F.lit("")))
