@@ -9,6 +9,7 @@ seam of longitudes.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,12 @@ FINE = 4
 DENSE_ROWS = 200_000
 MOST_DENSE_CELLS = 100_000
 
+#: Where pairs are listed, rows and circles of a cell beyond which it is dealt in blocks, and pairs that a task looks at.
+BLOCK_ROWS = 32_768
+BLOCK_CIRCLES = 4_096
+TASK_PAIRS = 16 << 20
+MOST_TASKS = 20_000
+
 _SLACK_DEG = 1e-9
 
 
@@ -110,17 +117,26 @@ def celled(df: DataFrame, height: float, lat: str = "start_lat", lng: str = "sta
     return placed.withColumn("col", _column(F.col(lng), _column_count(F.col("band"), height)))
 
 
+def _reach(radius_km: float) -> float:
+    """How far a circle reaches north and south, in degrees."""
+    return math.degrees(radius_km / EARTH_RADIUS_KM) + _SLACK_DEG
+
+
+def _half_width(lat: Column, radius_km: float) -> Column:
+    """How far a circle reaches east and west, in degrees; at a pole all the way round."""
+    share = F.lit(math.sin(min(radius_km / EARTH_RADIUS_KM, math.pi / 2))) / F.cos(F.radians(lat))
+    inside = F.degrees(F.asin(F.least(share, F.lit(1.0)))) + _SLACK_DEG
+    return F.when(F.abs(lat) + _reach(radius_km) >= 90.0, F.lit(180.0)).otherwise(inside)
+
+
 def covering(centres: DataFrame, radius_km: float, height: float, lat: str = "lat0", lng: str = "lng0") -> DataFrame:
     """Each centre with every cell (``band``, ``col``) that its circle may touch, each cell once."""
-    reach = math.degrees(radius_km / EARTH_RADIUS_KM) + _SLACK_DEG
+    reach = _reach(radius_km)
     first = F.greatest(_band(F.col(lat) - reach, height), F.lit(0))
     last = F.least(_band(F.col(lat) + reach, height), F.lit(math.ceil(180.0 / height)))
     bands = centres.filter(_on_globe(F.col(lat), F.col(lng))).withColumn("band", F.explode(F.sequence(first, last)))
     count = _column_count(F.col("band"), height)
-    angle = radius_km / EARTH_RADIUS_KM
-    # How far the circle reaches east and west; at a pole all the way round.
-    share = F.lit(math.sin(min(angle, math.pi / 2))) / F.cos(F.radians(F.col(lat)))
-    half = F.when(F.abs(F.col(lat)) + reach >= 90.0, F.lit(180.0)).otherwise(F.degrees(F.asin(F.least(share, F.lit(1.0)))) + _SLACK_DEG)
+    half = _half_width(F.col(lat), radius_km)
     west = F.floor((F.col(lng) - half + 180) / 360 * F.col("_count"))
     east = F.floor((F.col(lng) + half + 180) / 360 * F.col("_count"))
     # A run of columns, round the globe once at most.
@@ -142,6 +158,43 @@ def _spread_dense(rows: DataFrame, circles: DataFrame, dense_rows: int, key: Col
     return dealt, copied
 
 
+def _in_blocks(rows: DataFrame, circles: DataFrame, block_rows: int, block_circles: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of one place as a list, and circles, both with the block (``part``, ``turn``) in which they meet (two actions).
+
+    A cell's rows are dealt to parts and its circles to turns, so that no block
+    holds many of either; each part goes to every turn and each turn to every
+    part. Cells without a circle are left out.
+    """
+    n, m = (df.groupBy("band", "col").agg(F.count("*").alias(name)) for df, name in ((rows, "rows"), (circles, "circles")))
+    cells = n.join(m, ["band", "col"]).select(
+        "band",
+        "col",
+        (F.col("rows") * F.col("circles")).alias("pairs"),
+        F.ceil(F.col("rows") / block_rows).cast("int").alias("parts"),
+        F.ceil(F.col("circles") / block_circles).cast("int").alias("turns"),
+    )
+    cells = written(cells, "cells-met")
+    met = cells.agg(F.count("*").alias("cells"), F.sum(F.col("pairs").cast("double")).alias("pairs")).first()
+    known = F.broadcast(cells.drop("pairs")) if met["cells"] <= MOST_DENSE_CELLS else cells.drop("pairs")
+    block = ["band", "col", "part", "turn"]
+    spots = (
+        rows.join(known, ["band", "col"])
+        .withColumn("part", F.pmod(F.xxhash64("_key"), "parts").cast("int"))
+        .groupBy("band", "col", "turns", "part", "_lat", "_lng")
+        # In structs, as a list leaves out keys that are null.
+        .agg(F.collect_list(F.struct("_key")).alias("_keys"))
+        .select("band", "col", "part", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), "_lat", "_lng", F.col("_keys._key").alias("_keys"))
+    )
+    asked = (
+        circles.join(known, ["band", "col"])
+        .withColumn("turn", F.pmod(F.xxhash64("_centre", "_lat0", "_lng0"), "turns").cast("int"))
+        .select("_centre", "_lat0", "_lng0", "band", "col", "turn", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    )
+    # Few bytes make many pairs, so the number of tasks goes by the pairs.
+    tasks = min(MOST_TASKS, 1 + int((met["pairs"] or 0) // TASK_PAIRS))
+    return spots.repartition(tasks, *block), asked
+
+
 def rows_around(
     df: DataFrame,
     centres: DataFrame,
@@ -152,23 +205,30 @@ def rows_around(
     lng: str = "start_lng",
     lat0: str = "lat0",
     lng0: str = "lng0",
-    dense_rows: int = DENSE_ROWS,
+    dense_rows: int = BLOCK_ROWS,
+    dense_circles: int = BLOCK_CIRCLES,
+    shown: Callable[[Column], Column] = lambda distance: distance,
 ) -> DataFrame:
-    """(``centre``, ``key``, ``distance_km``) of all rows within the radius of each centre, each pair once (two actions, then lazy).
+    """(``centre``, ``key``, ``distance_km``) of all rows within the radius of each centre, each pair once (a few actions, then lazy).
 
-    Rows and centres without a place on the globe have no surroundings. ``key``
-    should tell rows apart, as dense cells are dealt by its hash.
+    Rows and centres without a place on the globe have no surroundings. The
+    distance is worked out, and made what is ``shown``, once for all rows at a
+    place. ``key`` should tell rows apart, as dense cells are dealt by its hash.
     """
     height = _cell_height(radius_km)
     rows = celled(df.select(F.col(key).alias("_key"), F.col(lat).alias("_lat"), F.col(lng).alias("_lng")), height, "_lat", "_lng")
     circles = covering(centres.select(F.col(centre).alias("_centre"), F.col(lat0).alias("_lat0"), F.col(lng0).alias("_lng0")), radius_km, height, "_lat0", "_lng0")
-    rows, circles = _spread_dense(rows, circles, dense_rows, F.xxhash64("_key"))
-    met = circles.join(rows, ["band", "col", "part"])
+    # Written first, as rows are counted per cell and then dealt.
+    spots, asked = _in_blocks(written(rows, "celled-rows"), circles, dense_rows, dense_circles)
     distance = great_circle_km("_lat", "_lng", F.col("_lat0"), F.col("_lng0"))
-    return (
-        met.select(F.col("_centre").alias(centre), F.col("_key").alias(key), distance.alias("distance_km"))
-        .filter(F.col("distance_km") <= float(radius_km))
-    )
+    asked = asked.withColumn("_half", _half_width(F.col("_lat0"), radius_km))
+    # Plain comparisons first, so that the trigonometry runs on few pairs that are not listed.
+    east = F.abs(F.pmod(F.col("_lng") - F.col("_lng0") + 180, F.lit(360.0)) - 180)
+    in_box = (F.abs(F.col("_lat") - F.col("_lat0")) <= _reach(radius_km)) & (east <= F.col("_half"))
+    met = spots.join(asked, ["band", "col", "part", "turn"]).filter(in_box & (distance <= float(radius_km)))
+    # In a step of its own: next to ``explode`` it would be worked out for every row.
+    placed = met.select("_centre", "_keys", shown(distance).alias("distance_km"))
+    return placed.select(F.col("_centre").alias(centre), F.explode("_keys").alias(key), "distance_km")
 
 
 def counts_around(

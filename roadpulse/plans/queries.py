@@ -6,7 +6,7 @@ import functools
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.functions.curve import curve_key
@@ -49,7 +49,22 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
     ten places first takes that noise off, so that a value half way between two
     results (a mean of eight) goes the same way in every engine.
     """
-    return df.withColumns({n: F.round(F.round(n, 10), 6) for n in names})
+    return df.withColumns({n: _six_places(F.col(n)) for n in names})
+
+
+def _six_places(column: Column) -> Column:
+    return F.round(F.round(column, 10), 6)
+
+
+def _distance_shown(km: Column) -> Column:
+    """``_six_places`` of a distance, by way of decimals only near the middle between two results.
+
+    Elsewhere the first rounding does not change the second, and a whole number
+    over a million is the double that stands for its decimal.
+    """
+    millionths = km * 1e6
+    whole = F.floor(millionths + 0.5)
+    return F.when(F.abs(millionths - F.floor(millionths) - 0.5) > 1e-3, whole / 1e6).otherwise(_six_places(km))
 
 
 # --- ingest and layout ------------------------------------------------------
@@ -316,8 +331,7 @@ def nearest_anywhere(spark, sf_dir):
 
 @_query
 def incidents_around_depots(spark, sf_dir):
-    found = nearest.rows_around(tables.incidents(spark, sf_dir), tables.depots(spark, sf_dir), LISTED_KM, "depot", "event_id")
-    return _rounded(found, "distance_km")
+    return nearest.rows_around(tables.incidents(spark, sf_dir), tables.depots(spark, sf_dir), LISTED_KM, "depot", "event_id", shown=_distance_shown)
 
 
 @_query

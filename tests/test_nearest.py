@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadpulse.operators import nearest
+from roadpulse.plans import queries
 
 ODD = [(None, 0.0), (0.0, None), (math.nan, 0.0), (95.0, 0.0), (0.0, 181.0)]
 EDGES = [(90.0, 0.0), (-90.0, 17.0), (0.0, 180.0), (0.0, -180.0), (89.99, 100.0), (89.99, -80.0), (0.0, 0.0), (-0.01, 179.99)]
@@ -83,3 +84,28 @@ def test_counts_compare_places_on_the_rim_only(spark):
     met = nearest.celled(df, height).join(inside.filter("NOT inside"), ["band", "col"]).count()
     assert met == 0
     assert {r["incidents"] for r in nearest.counts_around(df, asked, 100.0, "c").collect()} == {5000}
+
+
+def test_pairs_are_listed_by_even_tasks_and_distances_once_per_place(spark, monkeypatch):
+    """Few rows in one file may make many pairs: tasks go by the pairs, and a crowded place costs one distance."""
+    monkeypatch.setattr(nearest, "TASK_PAIRS", 20_000)
+    spots = [(34.0, -118.0), (34.001, -118.001), (34.0, -118.5)]
+    keys = [None if i % 10 == 0 else i // 2 for i in range(900)]
+    df = spark.createDataFrame([(k, *spots[i % 3]) for i, k in enumerate(keys)], "id long, start_lat double, start_lng double").coalesce(1)
+    asked = frame(spark, [(34.0, -118.0)] * 200 + [(34.0, -118.5)] * 10, ("c", "lat0", "lng0"))
+    found = nearest.rows_around(df, asked, 2.0, "c", "id", dense_rows=100, dense_circles=50)
+    want = [(c, k) for c in range(200) for i, k in enumerate(keys) if i % 3 < 2] + [(200 + c, k) for c in range(10) for k in keys[2::3]]
+    assert sorted(((r["c"], r["id"]) for r in found.collect()), key=str) == sorted(want, key=str)
+    assert found.rdd.getNumPartitions() >= len(want) // 20_000
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    above, _, below = plan.partition("Generate explode(_keys")
+    assert below and "ASIN" not in above
+
+
+def test_a_shown_distance_is_that_of_decimals(spark):
+    rng = random.Random(6)
+    middles = [(rng.randrange(10**9) + 0.5) / 10**6 for _ in range(3000)]
+    values = [0.0, 5e-7, 4.9e-11, 2.0, 20015.086796, *middles, *(v + rng.uniform(-1e-8, 1e-8) for v in middles), *(rng.uniform(0, 2) for _ in range(3000))]
+    df = spark.createDataFrame([(float(v),) for v in values], "km double")
+    both = df.select(queries._distance_shown(F.col("km")).alias("a"), F.round(F.round("km", 10), 6).alias("b"))
+    assert both.filter("a <> b OR a IS NULL").count() == 0
