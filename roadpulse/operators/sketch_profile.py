@@ -8,6 +8,7 @@ a table that grows is profiled from what is new and the sketches kept so far.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -89,23 +90,25 @@ def estimates(sketches: DataFrame, quantiles: Sequence[float] = QUANTILES, most:
 
 
 def against_exact(df: DataFrame, found: DataFrame, quantiles: Sequence[float] = QUANTILES, different: float = 0.05, rank: float = 0.02) -> DataFrame:
-    """Per column of the ``estimates``, whether they hold within these bounds (an action, then a pass over ``df``).
+    """Per column of the ``estimates``, whether they hold within these bounds (an action, then a pass over ``df`` and one over each column).
 
     ``different_holds``: values counted to ``different`` of their number;
     ``quantiles_hold``: the rank of each quantile is within ``rank`` of the one asked
     for; ``frequent_holds``: every frequent value occurs no more often than said,
     and as often to within a thousandth of the rows. The driver holds a row per column.
+    Different values are counted column by column, so that a task holds those of
+    one column of its rows and not of all columns.
     """
     rows = found.orderBy("ordinal").collect()
     sums = []
     for i, r in enumerate(rows):
         value, text = F.col(f"`{r['column_name']}`"), F.col(f"`{r['column_name']}`").cast("string")
         number = _as_number(value, df.schema[r["column_name"]].dataType)
-        sums += [F.count_distinct(text).alias(f"d{i}"), F.count(number).alias(f"m{i}")]
+        sums.append(F.count(number).alias(f"m{i}"))
         sums += [F.count_if(number < q).alias(f"below{i}_{k}") for k, q in enumerate(r["quantiles"] or [])]
         sums += [F.count_if(number <= q).alias(f"upto{i}_{k}") for k, q in enumerate(r["quantiles"] or [])]
         sums += [F.count_if(text.eqNullSafe(F.lit(v["item"]))).alias(f"t{i}_{k}") for k, v in enumerate(r["frequent"])]
-    exact = df.agg(*sums)
+    exact = df.agg(*sums).crossJoin(_different(df, [r["column_name"] for r in rows]))
     out = []
     for i, r in enumerate(rows):
         ranks = [
@@ -127,6 +130,14 @@ def against_exact(df: DataFrame, found: DataFrame, quantiles: Sequence[float] =
     return exact.select(F.inline(F.array(*out)))
 
 
+def _different(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row with the number of different texts of each column, ``d0``, ``d1``, ..."""
+    texts = [df.select(F.lit(i).alias("_column"), F.col(f"`{c}`").cast("string").alias("_text")) for i, c in enumerate(columns)]
+    every = functools.reduce(DataFrame.unionAll, [t.filter("_text IS NOT NULL").distinct() for t in texts])
+    counts = every.groupBy("_column").agg(F.count("*").alias("_n"))
+    return counts.agg(*[F.coalesce(F.max(F.when(F.col("_column") == i, F.col("_n"))), F.lit(0)).alias(f"d{i}") for i in range(len(columns))])
+
+
 def _all(tests: list[Column]) -> Column:
     """Null where there is nothing to test."""
     return F.forall(F.array(*tests), lambda t: t) if tests else F.lit(None).cast("boolean")

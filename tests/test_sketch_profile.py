@@ -49,3 +49,14 @@ def test_bounds_that_do_not_hold_are_told(spark):
 def test_no_rows(spark):
     found = sketch.estimates(sketch.column_sketches(spark.createDataFrame([], SCHEMA))).collect()
     assert [(r["non_null"], r["different"], r["quantiles"], r["frequent"]) for r in found] == [(0, 0, None, [])] * 5
+
+
+def test_exact_counts_hold_one_column_at_a_time(spark):
+    """Counting all columns' different values in one grouping keeps every row once per column in a task."""
+    data = [(None, 1, 0.0, "x", None), ("a", 1, -0.0, None, None), ("a", 2, float("nan"), "y", None), ("b", None, None, "", None)]
+    df = spark.createDataFrame(data * 3, SCHEMA)
+    found = sketch.estimates(sketch.column_sketches(df))
+    exact = sketch.against_exact(df, found)
+    assert "Expand" not in exact._jdf.queryExecution().optimizedPlan().toString()
+    assert all(r["different_holds"] for r in exact.collect())
+    assert tuple(sketch._different(df, df.columns).first()) == tuple(df.selectExpr(*[f"count(DISTINCT CAST({c} AS STRING))" for c in df.columns]).first())
