@@ -21,10 +21,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.byte_bpe import load_tokenizer, pieces
+from roadpulse.llm.byte_bpe import OTHER_SPACE, load_tokenizer, pieces
 from roadpulse.llm.common import ENTRY_BYTES, small_batches
 from roadpulse.llm.pair_merges import pair_merges
 from roadpulse.sources.shared_dir import written
@@ -73,6 +74,9 @@ class Vocabulary:
         joined, alone = [], []
         for piece in pieces:
             (joined if piece[0].isspace() and not piece[-1].isspace() else alone).append(piece)
+        self._learn(joined, alone)
+
+    def _learn(self, joined: list[str], alone: list[str]) -> None:
         for at in range(0, len(joined), _JOINED):
             self._learn_joined(joined[at : at + _JOINED], alone)
         for at in range(0, len(alone), _ALONE):
@@ -120,21 +124,79 @@ class Vocabulary:
 
     def ids(self, texts: Sequence[list[str]], end: int) -> list[np.ndarray]:
         """Ids of texts given in pieces, each followed by ``end``."""
+        self._make_room()
+        every = list(itertools.chain.from_iterable(texts))
+        return self._joined_ids(self._places(every), np.array([len(t) for t in texts], np.int64), end)
+
+    def ids_of_column(self, column: pa.Array, end: int) -> list[np.ndarray]:
+        """Ids of the texts of an Arrow column, null as empty, each followed by ``end``.
+
+        Where single spaces and line feeds are all the white space there is, words
+        are split and told apart in Arrow, and only the different ones become
+        strings; other texts are cut into ``pieces``.
+        """
+        column = column.cast(pa.large_string()).fill_null("")
+        texts = column.to_pylist()
+        words = pc.split_pattern(pc.replace_substring(column, "\n", " \n"), " ")
+        counts = np.diff(words.offsets.to_numpy())
+        coded = words.flatten().dictionary_encode()
+        code, known = coded.indices.to_numpy(), coded.dictionary
+        # A word that is empty or a line feed alone comes of more white space than one.
+        wide = pc.is_in(known, pa.array(["", "\n"], known.type)).to_numpy(zero_copy_only=False)
+        plain = np.array([not OTHER_SPACE.search(t) for t in texts], bool)
+        starts = np.cumsum(counts) - counts
+        if len(texts):
+            plain &= ~np.logical_or.reduceat(wide[code], starts)
+        self._make_room()
+        out: list[np.ndarray | None] = [None] * len(texts)
+        rows = np.flatnonzero(plain)
+        if len(rows):
+            kept = np.repeat(plain, counts)
+            kept[starts[rows]] = False
+            used = np.zeros(len(known), bool)
+            used[code[kept]] = True
+            # The space before a word was taken off, and a text's first word has none.
+            used = np.flatnonzero(used)
+            different = [w if w[0] == "\n" else " " + w for w in known.take(pa.array(used)).to_pylist()]
+            place = np.zeros(len(known), np.int64)
+            place[used] = self._places(different, plain=True)
+            at = place[code]
+            firsts = known.take(pa.array(code[starts[rows]])).to_pylist()
+            at[starts[rows]] = self._places(firsts)
+            for row, ids in zip(rows.tolist(), self._joined_ids(at[np.repeat(plain, counts)], counts[rows], end)):
+                out[row] = ids
+        others = np.flatnonzero(~plain).tolist()
+        cut = [pieces(texts[k]) for k in others]
+        for row, ids in zip(others, self._joined_ids(self._places(list(itertools.chain.from_iterable(cut))), np.array([len(t) for t in cut], np.int64), end)):
+            out[row] = ids
+        return out
+
+    def _make_room(self) -> None:
+        """Called between batches only: what is looked up stays for the batch."""
         if self.held > MOST_BYTES:
             self.clear()
-        every = list(itertools.chain.from_iterable(texts))
+
+    def _places(self, every: list[str], plain: bool = False) -> np.ndarray:
+        """Where each piece is held, new ones learnt; ``plain`` ones are different words after one white space."""
         at = np.fromiter(map(self.index.get, every, itertools.repeat(-1)), np.int64, len(every))
         new = np.flatnonzero(at < 0).tolist()
         if new:
             unknown = [every[k] for k in new]
-            self.learn(dict.fromkeys(unknown))
+            if plain:
+                self._learn(unknown, [])
+            else:
+                self.learn(dict.fromkeys(unknown))
             at[new] = np.fromiter(map(self.index.__getitem__, unknown), np.int64, len(unknown))
+        return at
+
+    def _joined_ids(self, at: np.ndarray, counts: np.ndarray, end: int) -> list[np.ndarray]:
+        """Ids of texts of so many pieces each, held at these places."""
         lengths = self.lengths[at]
         upto = np.cumsum(lengths)
         total = int(upto[-1]) if len(at) else 0
         flat = self.flat[np.repeat(self.starts[at] - upto + lengths, lengths) + np.arange(total)]
         # Where each text ends among the pieces, and so among the ids.
-        ends = np.append(0, upto)[np.cumsum([len(t) for t in texts])] if texts else []
+        ends = np.append(0, upto)[np.cumsum(counts)] if len(counts) else []
         out, start = [], 0
         for stop in ends:
             ids = np.empty(stop - start + 1, "<u4")
@@ -172,9 +234,8 @@ def tokenised_pieces(
             _vocabularies[path] = Vocabulary(path)
         vocabulary = _vocabularies[path]
         for batch in small_batches(batches, "_text", 4 << 20):
-            cut = [pieces(t or "") for t in batch.column(1).to_pylist()]
             row, out = [], [[] for _ in types]
-            for k, ids in enumerate(vocabulary.ids(cut, end)):
+            for k, ids in enumerate(vocabulary.ids_of_column(batch.column(1), end)):
                 edge = (len(ids) - 1) % capacity + 1
                 bounds = [0, *range(edge, len(ids) + 1, capacity)]
                 for n, (a, b) in enumerate(zip(bounds, bounds[1:])):

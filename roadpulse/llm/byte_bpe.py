@@ -15,7 +15,7 @@ import re
 TOKENIZER = "byte_bpe_50k.json"
 
 # White space other than the plain space and line feed; more than the pattern's is harmless.
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+OTHER_SPACE = re.compile(r"[^\S \n]")
 _PIECE = re.compile(r"\s*\S+|\s+")
 
 
@@ -43,7 +43,7 @@ def pieces(text: str) -> list[str]:
     """Pieces of a text, in order; their concatenation is the text."""
     if not text:
         return []
-    if not _OTHER_SPACE.search(text):
+    if not OTHER_SPACE.search(text):
         parts = text.replace("\n", " \n").split(" ")
         if "" not in parts and "\n" not in parts:
             first = parts[0]

@@ -4,6 +4,7 @@ import random
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import prose
 
@@ -104,3 +105,21 @@ def test_merges_give_the_ids_of_the_library():
         assert merges.knows(text)
         assert merges.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
     assert not merges.knows("a <|endoftext|> b")
+
+
+def test_words_split_in_arrow_give_the_librarys_ids(monkeypatch):
+    """Different words of a batch are told apart in Arrow; only texts with other white space are cut one by one."""
+    texts = [
+        None, "", " ", "\n", "\n\n", "a", " a", "a ", "a b", "a  b", "a\nb", "a \nb", "a\n b", "\na b", "a b\n", "b a b a a b",
+        "tab\there two", "no break one", "a b c", "a\x1cb c", "one <|endoftext|> two", "<|endoftext|>", "it's 12 o'clock -- naïve 你好 \U0001f600",
+        "word " * 500 + "end", "x\r\ny z",
+    ]
+    tokenizer = load_tokenizer()
+    cut = []
+    monkeypatch.setattr(best_fit_packing, "pieces", lambda t: cut.append(t) or pieces(t))
+    vocabulary = best_fit_packing.Vocabulary(None)
+    for part in (texts, texts[::-1], texts[3:9], [], [None]):
+        column = pa.array(["x", *part], pa.string()).slice(1)
+        found = vocabulary.ids_of_column(column, 0)
+        assert [i.tolist() for i in found] == [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for t in part]
+    assert not {"a b", "a\nb", "b a b a a b", "word " * 500 + "end"} & set(cut)
