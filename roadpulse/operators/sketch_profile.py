@@ -108,7 +108,10 @@ def against_exact(df: DataFrame, found: DataFrame, quantiles: Sequence[float] =
         sums += [F.count_if(number < q).alias(f"below{i}_{k}") for k, q in enumerate(r["quantiles"] or [])]
         sums += [F.count_if(number <= q).alias(f"upto{i}_{k}") for k, q in enumerate(r["quantiles"] or [])]
         sums += [F.count_if(text.eqNullSafe(F.lit(v["item"]))).alias(f"t{i}_{k}") for k, v in enumerate(r["frequent"])]
-    exact = df.agg(*sums).crossJoin(_different(df, [r["column_name"] for r in rows]))
+    # Two rows with columns of their own, put into one.
+    parts = {"sums": df.agg(*sums), "different": _different(df, [r["column_name"] for r in rows])}
+    both = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p.select(F.struct("*").alias(n)) for n, p in parts.items()])
+    exact = both.agg(*[F.first(n, ignorenulls=True).alias(n) for n in parts]).select(*[f"{n}.*" for n in parts])
     out = []
     for i, r in enumerate(rows):
         ranks = [
